@@ -122,3 +122,44 @@ def s10_model_roundtrip(spark, sf_dir):
     a = M.predict(model, test, "rk").withColumnRenamed("prediction", "p_saved")
     b = M.predict(loaded, test, "rk").withColumnRenamed("prediction", "p_loaded")
     return a.join(b, "rk")
+
+
+# ------------------------------------------------------------------ neural network
+
+MLP_EPOCHS = 100
+MLP_PATIENCE = 10
+
+
+def trained_mlp(spark, sf_dir, max_epochs=MLP_EPOCHS):
+    """M5 / M6: scaled preparation + the averaged-SGD network, with 20 % of
+    the training rows (T4 hash) held out for early stopping."""
+    from pyspark.ml import Pipeline
+
+    from ridgeline.operators.mlp import MLPRegressor
+    from ridgeline.operators.prepare import TabularPrep
+    from ridgeline.operators.split import validation_flag
+
+    mt, spec, train, test = mt_split(spark, sf_dir)
+    train = train.withColumn("is_val", validation_flag("rk"))
+    prep = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical), scale=True)
+    net = MLPRegressor(labelCol=spec.target, validationCol="is_val", keyCol="rk",
+                       maxEpochs=max_epochs, patience=MLP_PATIENCE)
+    # the preparation is fitted on the training rows without the validation rows
+    prep_model = prep.fit(train.filter(~F.col("is_val")))
+    net_model = net.fit(prep_model.transform(train))
+    return PipelineModel(stages=[prep_model, net_model]), spec, train, test
+
+
+@query("m5_mlp_predictions")
+def m5_mlp_predictions(spark, sf_dir):
+    model, spec, train, test = trained_mlp(spark, sf_dir)
+    return M.predict(model, test, "rk")
+
+
+@query("m7_mlp_history")
+def m7_mlp_history(spark, sf_dir):
+    """M6 / M7: per-epoch loss, mae, val_loss, val_mae (early stopping)."""
+    from ridgeline.operators.mlp import history_table
+
+    model, spec, train, test = trained_mlp(spark, sf_dir)
+    return history_table(spark, model.stages[-1].history)
