@@ -22,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.operators.quantiles import exact_quantiles
+
 SQRT_2PI = math.sqrt(2 * math.pi)
 
 
@@ -89,8 +91,12 @@ def ols_fit(df: DataFrame, features: list[str], y: str) -> list[dict]:
     aggs = []
     for i, f in enumerate(features):
         x = _c(f).cast("double")
-        aggs += [F.median(x).alias(f"m{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    first = df.agg(*aggs).first()
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    first = df.agg(*aggs).first().asDict()
+    qs = exact_quantiles(df, list(features), [0.5], stats={
+        f: (first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]) for i, f in enumerate(features)})
+    for i, f in enumerate(features):
+        first[f"m{i}"] = qs[f][0]
     aggs = []
     for i, f in enumerate(features):
         xf = F.coalesce(_c(f).cast("double"), F.lit(first[f"m{i}"]))

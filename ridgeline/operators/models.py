@@ -38,12 +38,17 @@ CV_FOLDS = 5
 
 MODEL_KINDS = ["linear_regression", "decision_tree", "random_forest", "xgboost"]
 TREE_KINDS = {"decision_tree", "random_forest", "xgboost"}
-SCALED_KINDS = {"linear_regression", "mlp"}
+SCALED_KINDS = {"linear_regression", "spark_linear", "mlp"}
 
 
 def regressor(kind: str, label: str, **params):
     common = {"featuresCol": "features", "labelCol": label, "predictionCol": "prediction"}
     if kind == "linear_regression":
+        # one-pass Gram matrix + minimum-norm solve (see operators/ols.py);
+        # Spark's LinearRegression stays available as kind "spark_linear"
+        from ridgeline.operators.ols import OLSRegressor
+        return OLSRegressor(**common)
+    if kind == "spark_linear":
         return LinearRegression(regParam=0.0, elasticNetParam=0.0, solver="auto", **common, **params)
     if kind == "decision_tree":
         return DecisionTreeRegressor(seed=SEED, maxBins=64, **common, **params)

@@ -30,6 +30,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.operators.quantiles import exact_quantiles
+
 EPS = 2.220446049250313e-16
 
 
@@ -67,13 +69,20 @@ def fit_statistics(df: DataFrame, numeric: list[str], categorical: list[str],
         aggs = [F.count(F.lit(1)).alias("n")]
         for i, x in enumerate(numeric):
             v = _c(x).cast("double")
-            med = F.percentile_approx(v, 0.5, 100000) if approx else F.median(v)
-            aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"),
-                     F.var_pop(v).alias(f"v{i}"), med.alias(f"q{i}")]
+            aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}"),
+                     F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+            if approx:
+                aggs.append(F.percentile_approx(v, 0.5, 100000).alias(f"q{i}"))
         row = df.agg(*aggs).first()
         n = row["n"]
+        if approx:
+            medians = {x: row[f"q{i}"] for i, x in enumerate(numeric)}
+        else:
+            qs = exact_quantiles(df, list(numeric), [0.5], stats={
+                x: (row[f"c{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, x in enumerate(numeric)})
+            medians = {x: qs[x][0] for x in numeric}
         for i, x in enumerate(numeric):
-            n1, m1, v1, med = row[f"c{i}"], row[f"m{i}"], row[f"v{i}"], row[f"q{i}"]
+            n1, m1, v1, med = row[f"c{i}"], row[f"m{i}"], row[f"v{i}"], medians[x]
             if not n1:
                 med, mean, std = 0.0, 0.0, 0.0
             else:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ridgeline.functions.exprs import null_count, safe_corr
+from ridgeline.operators.quantiles import exact_quantiles
 from ridgeline.spec import FeatureSpec
 
 
@@ -92,7 +93,10 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def target_stats(df: DataFrame, target: str, approx: bool = False) -> DataFrame:
     """A5: mean, median, sample std, min, max of the target (one pass)."""
     y = c(target).cast("double")
-    med = F.percentile_approx(y, 0.5, 100000) if approx else F.median(y)
+    if approx:
+        med = F.percentile_approx(y, 0.5, 100000)
+    else:
+        med = F.lit(exact_quantiles(df, [target], [0.5])[target][0]).cast("double")
     return df.agg(
         F.avg(y).alias("target_mean"), med.alias("target_median"),
         F.stddev_samp(y).alias("target_std"), F.min(y).alias("target_min"),
@@ -106,10 +110,11 @@ def overview(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     n_missing = F.lit(0).cast("long")
     for f in spec.features:
         n_missing = n_missing + null_count(c(f))
+    med = exact_quantiles(df, [spec.target], [0.5])[spec.target][0]
     main = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         n_missing.alias("n_missing_total"),
-        F.avg(y).alias("target_mean"), F.median(y).alias("target_median"),
+        F.avg(y).alias("target_mean"), F.lit(med).cast("double").alias("target_median"),
         F.stddev_samp(y).alias("target_std"), F.min(y).alias("target_min"),
         F.max(y).alias("target_max"))
     dups = duplicate_count(df).scalar()
@@ -132,22 +137,32 @@ def overview(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 def describe(df: DataFrame, columns: list[str], approx: bool = False,
              accuracy: int = 100000) -> DataFrame:
     """Count, mean, std (ddof=1), min, p25, p50, p75, max per column,
-    transposed to one row per column. One wide aggregate."""
+    transposed to one row per column (a bounded, column-sized result).
+
+    One wide aggregate gives the moments; the quartiles are exact order
+    statistics from histogram refinement (``operators.quantiles``) or, with
+    ``approx``, ``percentile_approx`` sketches in the same aggregate."""
     aggs = []
     for i, x in enumerate(columns):
         v = c(x).cast("double")
-        q = (F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy) if approx
-             else F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"),
-                 F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"lo{i}"),
-                 q.alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-    wide = wide.select("*", *[F.col(f"q{i}")[j].alias(f"q{i}_{j}")
-                              for i in range(len(columns)) for j in range(3)])
-    return _unpivot_row(wide, [
-        (x, {"count": f"n{i}", "mean": f"m{i}", "std": f"s{i}", "min": f"lo{i}",
-             "p25": f"q{i}_0", "p50": f"q{i}_1", "p75": f"q{i}_2", "max": f"hi{i}"})
-        for i, x in enumerate(columns)], key="feature")
+                 F.stddev_samp(v).alias(f"s{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+        if approx:
+            aggs.append(F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"))
+    row = df.agg(*aggs).first()
+    if approx:
+        qs = {x: list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * 3
+              for i, x in enumerate(columns)}
+    else:
+        qs = exact_quantiles(df, list(columns), [0.25, 0.5, 0.75], stats={
+            x: (row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]) for i, x in enumerate(columns)})
+    rows = [(x, i, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"],
+             qs[x][0], qs[x][1], qs[x][2], row[f"hi{i}"]) for i, x in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)
+
+
+DESCRIBE_SCHEMA = ("feature string, ordinal int, count bigint, mean double, std double, min double, "
+                   "p25 double, p50 double, p75 double, max double")
 
 
 def feature_ranges(imputed_train: DataFrame, numeric: list[str], approx: bool = False) -> DataFrame:

@@ -29,7 +29,7 @@ TEST_BUCKETS = 2000  # bucket < 2000 of 10000 -> test (20 %)
 def modelling_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MT: lineitem with a derived target, hash-injected NULLs, split bucket
     and CV fold. One narrow projection over lineitem (no shuffle)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=True)
     base = li.select(
         row_key(*LINE_KEY).alias("rk"),
         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -71,17 +71,19 @@ def customer_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     Plan: lineitem joins orders (on orderkey) and part (on partkey), one
     grouped aggregation by customer with conditional sums (a pivot without
     the pivot operator's extra distinct pass), then customer LEFT JOIN.
-    The latest ship date is a scalar subquery, not a cross join.
+    The latest ship date is read once as a literal, not joined.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem", balance=True).select(
         "l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
 
-    latest = li.agg(F.max("l_shipdate")).scalar()
-    cut36 = F.add_months(latest, -36)
-    cut18 = F.add_months(latest, -18)
+    # one value: the latest ship date (a single small aggregate, read once
+    # instead of a scalar subquery repeated inside every conditional sum)
+    latest = li.agg(F.max("l_shipdate").cast("date")).first()[0]
+    cut36 = F.add_months(F.lit(latest), -36)
+    cut18 = F.add_months(F.lit(latest), -18)
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
               .join(part, li.l_partkey == part.p_partkey))
     price = F.col("l_extendedprice")
@@ -119,7 +121,7 @@ def cw_spec(cw: DataFrame) -> FeatureSpec:
 def prediction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PT: (model, rk, l_returnflag, y, p) on the test rows of MT for three
     closed-form models: the train mean, 0.9 * price, and the exact target."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=True)
     base = li.select(
         row_key(*LINE_KEY).alias("rk"), "l_returnflag", "l_extendedprice",
         (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("y"),

@@ -19,8 +19,29 @@ NA_TOKENS = [
 ]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+    """Parquet scan of one driver table; ``balance`` spreads an
+    under-partitioned fact-table scan (see ``balanced``)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return balanced(df) if balance else df
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-partitioned scan over the cluster.
+
+    A scan has one task per file split; a file with a single large row group
+    (or an unsplittable compressed CSV) gives one task for all the per-row
+    work that follows (hashing, projections, model training). When the scan
+    has fewer splits than half the default parallelism, the rows are
+    repartitioned (round-robin, made deterministic by Spark's local sort
+    before repartitioning). Large inputs already have many splits and pass
+    through unchanged. Projections and filters still reach the scan:
+    Catalyst pushes them below the repartition.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= target:
+        return df.repartition(target)
+    return df
 
 
 def normalize_missing(df: DataFrame, na_tokens: list[str] | None = None) -> DataFrame:

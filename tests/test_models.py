@@ -47,3 +47,21 @@ def test_cv_metric_is_mean_of_manual_folds(spark):
     assert abs(cvm.avgMetrics[0] - np.mean(manual)) < 1e-9
     t = M.best_params_table(spark, cvm, maps, "decision_tree").collect()
     assert {r["param"] for r in t} == {"maxDepth", "minInstancesPerNode"}
+
+
+def test_ols_min_norm_matches_numpy(spark):
+    from pyspark.ml.linalg import Vectors
+    from ridgeline.operators.ols import OLSRegressor
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(200, 3))
+    d = (rng.random(200) < 0.5).astype(float)
+    Xf = np.column_stack([X, d, 1 - d])  # two dummies + intercept: rank deficient
+    y = X @ [1.0, -2.0, 0.5] + 3 * d + rng.normal(size=200) * 0.1
+    df = spark.createDataFrame([(Vectors.dense(r.tolist()), float(v)) for r, v in zip(Xf, y)], ["features", "label"])
+    m = OLSRegressor().fit(df)
+    Xc = Xf - Xf.mean(0)
+    ref = np.linalg.lstsq(Xc, y - y.mean(), rcond=None)[0]
+    assert np.max(np.abs(np.array(m.coef) - ref)) < 1e-8
+    got = np.array([r[0] for r in m.transform(df).select("prediction").collect()])
+    want = Xf @ ref + (y.mean() - Xf.mean(0) @ ref)
+    assert np.max(np.abs(got - want)) < 1e-8
