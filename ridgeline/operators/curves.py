@@ -22,6 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.functions.cache import passes_over
 from ridgeline.operators.quantiles import exact_quantiles
 
 SQRT_2PI = math.sqrt(2 * math.pi)
@@ -87,6 +88,11 @@ def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 0.0,
 def ols_fit(df: DataFrame, features: list[str], y: str) -> list[dict]:
     """Simple OLS of y on each feature, feature NULLs filled with the
     feature's median. Two aggregate passes; returns bounded fit parameters."""
+    with passes_over(df, list(features) + [y]) as part:
+        return _ols_fit(part, features, y)
+
+
+def _ols_fit(df, features, y):
     yv = _c(y).cast("double")
     aggs = []
     for i, f in enumerate(features):

@@ -30,6 +30,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.functions.cache import passes_over
 from ridgeline.operators.quantiles import exact_quantiles
 
 EPS = 2.220446049250313e-16
@@ -64,6 +65,11 @@ def fit_statistics(df: DataFrame, numeric: list[str], categorical: list[str],
     (one pass), mode and sorted categories per categorical column (one
     grouped pass). The result is bounded by the number of columns and the
     category cardinality."""
+    with passes_over(df, list(numeric) + list(categorical)) as part:
+        return _fit_statistics(part, numeric, categorical, approx)
+
+
+def _fit_statistics(df, numeric, categorical, approx):
     stats: dict = {"numeric": {}, "categorical": {}}
     if numeric:
         aggs = [F.count(F.lit(1)).alias("n")]

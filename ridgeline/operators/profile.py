@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ridgeline.functions.cache import passes_over
 from ridgeline.functions.exprs import null_count, safe_corr
 from ridgeline.operators.quantiles import exact_quantiles
 from ridgeline.spec import FeatureSpec
@@ -142,6 +143,11 @@ def describe(df: DataFrame, columns: list[str], approx: bool = False,
     One wide aggregate gives the moments; the quartiles are exact order
     statistics from histogram refinement (``operators.quantiles``) or, with
     ``approx``, ``percentile_approx`` sketches in the same aggregate."""
+    with passes_over(df, list(columns)) as part:
+        return _describe(part, columns, approx, accuracy)
+
+
+def _describe(df, columns, approx, accuracy):
     aggs = []
     for i, x in enumerate(columns):
         v = c(x).cast("double")

@@ -28,6 +28,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.functions.cache import passes_over
+
 BUCKETS = 1024
 COLLECT_LIMIT = 20000
 MAX_PASSES = 12
@@ -41,6 +43,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     stats: dict | None = None) -> dict[str, list[float | None]]:
     """{column: [quantile for each prob]} with linear interpolation; None for
     a column without values. ``stats`` may pass {column: (n, min, max)}."""
+    with passes_over(df, list(columns)) as part:
+        return _exact_quantiles(part, list(columns), probs, stats)
+
+
+def _exact_quantiles(df, columns, probs, stats):
     cols = list(columns)
     if stats is None:
         aggs = []
