@@ -105,32 +105,32 @@ def target_stats(df: DataFrame, target: str, approx: bool = False) -> DataFrame:
 
 
 def overview(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """A1: one row describing the table; the duplicate count is a scalar
-    subquery (its own aggregation) rather than a join."""
-    y = c(spec.target).cast("double")
-    n_missing = F.lit(0).cast("long")
-    for f in spec.features:
-        n_missing = n_missing + null_count(c(f))
-    med = exact_quantiles(df, [spec.target], [0.5])[spec.target][0]
-    main = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        n_missing.alias("n_missing_total"),
-        F.avg(y).alias("target_mean"), F.lit(med).cast("double").alias("target_median"),
-        F.stddev_samp(y).alias("target_std"), F.min(y).alias("target_min"),
-        F.max(y).alias("target_max"))
-    dups = duplicate_count(df).scalar()
-    return main.select(
-        "total_rows",
-        F.lit(len(df.columns)).cast("long").alias("total_columns"),
-        F.lit(len(spec.features)).cast("long").alias("n_features"),
-        F.lit(len(spec.numeric)).cast("long").alias("n_numeric_features"),
-        F.lit(len(spec.categorical)).cast("long").alias("n_categorical_features"),
-        F.array(*[F.lit(x) for x in spec.numeric]).cast("array<string>").alias("numeric_features"),
-        F.array(*[F.lit(x) for x in spec.categorical]).cast("array<string>").alias("categorical_features"),
-        F.lit(spec.target).alias("target_column"),
-        "n_missing_total",
-        dups.alias("n_duplicates"),
-        "target_mean", "target_median", "target_std", "target_min", "target_max")
+    """A1: one row describing the table. Its four passes (moments, median
+    refinement, duplicate grouping) run over one persisted copy; the result
+    is a single row."""
+    with passes_over(df) as part:
+        y = c(spec.target).cast("double")
+        n_missing = F.lit(0).cast("long")
+        for f in spec.features:
+            n_missing = n_missing + null_count(c(f))
+        med = exact_quantiles(part, [spec.target], [0.5])[spec.target][0]
+        row = part.agg(
+            F.count(F.lit(1)).alias("total_rows"), n_missing.alias("n_missing_total"),
+            F.avg(y).alias("target_mean"), F.stddev_samp(y).alias("target_std"),
+            F.min(y).alias("target_min"), F.max(y).alias("target_max")).first()
+        dups = duplicate_count(part).first()[0]
+    out = [(row["total_rows"], len(df.columns), len(spec.features), len(spec.numeric),
+            len(spec.categorical), list(spec.numeric), list(spec.categorical), spec.target,
+            row["n_missing_total"], dups, row["target_mean"], med, row["target_std"],
+            row["target_min"], row["target_max"])]
+    return df.sparkSession.createDataFrame(out, OVERVIEW_SCHEMA)
+
+
+OVERVIEW_SCHEMA = (
+    "total_rows bigint, total_columns bigint, n_features bigint, n_numeric_features bigint, "
+    "n_categorical_features bigint, numeric_features array<string>, categorical_features array<string>, "
+    "target_column string, n_missing_total bigint, n_duplicates bigint, target_mean double, "
+    "target_median double, target_std double, target_min double, target_max double")
 
 
 # ---------------------------------------------------------------- A6 / A8 / A9
