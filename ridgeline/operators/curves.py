@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.cache import passes_over
-from ridgeline.operators.quantiles import exact_quantiles
+from ridgeline.operators.quantiles import exact_quantiles, exact_quantiles_by
 
 SQRT_2PI = math.sqrt(2 * math.pi)
 
@@ -135,17 +135,24 @@ def _by_category(df: DataFrame, cat: str, y: str) -> DataFrame:
             .filter(F.col("category").isNotNull() & F.col("y").isNotNull()))
 
 
+def _quartile_table(df: DataFrame, cat: str, y: str, whis: float) -> DataFrame:
+    """Per-category n and exact quartiles (grouped histogram refinement),
+    as a small table with one row per category."""
+    qs = exact_quantiles_by(df, cat, y, [0.25, 0.5, 0.75])
+    rows = []
+    for g, (n, (q1, med, q3)) in qs.items():
+        iqr = q3 - q1
+        rows.append((g, n, q1, med, q3, q1 - whis * iqr, q3 + whis * iqr))
+    return df.sparkSession.createDataFrame(
+        rows, "category string, n bigint, q1 double, median double, q3 double, lo_fence double, hi_fence double")
+
+
 def box_stats(df: DataFrame, cat: str, y: str, whis: float = 1.5) -> DataFrame:
     """Per category n, quartiles (linear interpolation), whiskers at the
-    furthest data point within whis * IQR of the box, and outlier count."""
+    furthest data point within whis * IQR of the box, and outlier count.
+    The per-category table is joined back on the category."""
     d = _by_category(df, cat, y)
-    q = d.groupBy("category").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile("y", [0.25, 0.5, 0.75]).alias("q"))
-    q = q.select("category", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
-    q = q.withColumn("lo_fence", F.col("q1") - whis * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi_fence", F.col("q3") + whis * (F.col("q3") - F.col("q1")))
+    q = _quartile_table(df, cat, y, whis)
     j = d.join(q.select("category", "lo_fence", "hi_fence"), "category")
     yv = F.col("y")
     w = j.groupBy("category").agg(
@@ -161,10 +168,8 @@ def box_outliers(df: DataFrame, cat: str, y: str, key: str, whis: float = 1.5) -
     d = df.select(_c(key).alias("row_id"), _c(cat).cast("string").alias("category"),
                   _c(y).cast("double").alias("y")).filter(
         F.col("category").isNotNull() & F.col("y").isNotNull())
-    q = d.groupBy("category").agg(F.percentile("y", [0.25, 0.75]).alias("q"))
-    q = q.select("category", (F.col("q")[0] - whis * (F.col("q")[1] - F.col("q")[0])).alias("lo_f"),
-                 (F.col("q")[1] + whis * (F.col("q")[1] - F.col("q")[0])).alias("hi_f"))
-    return d.join(q, "category").filter((F.col("y") < F.col("lo_f")) | (F.col("y") > F.col("hi_f"))) \
+    q = _quartile_table(df, cat, y, whis).select("category", "lo_fence", "hi_fence")
+    return d.join(q, "category").filter((F.col("y") < F.col("lo_fence")) | (F.col("y") > F.col("hi_fence"))) \
             .select("row_id", "category", "y")
 
 

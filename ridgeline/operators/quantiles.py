@@ -135,3 +135,80 @@ def _exact_quantiles(df, columns, probs, stats):
             res.append(lo + (hi - lo) * (h - math.floor(h)) if hi != lo else lo)
         out[x] = res
     return out
+
+
+def exact_quantiles_by(df: DataFrame, group: str, value: str,
+                       probs: list[float]) -> dict[str, tuple[int, list[float]]]:
+    """{group value: (n, [quantile for each prob])} for one value column per
+    group, by the same refinement. The current interval of every open rank
+    is a small table (group, interval id, lo, hi) joined to the rows on the
+    group key, so a group holding a third of all rows is counted by many
+    tasks into buckets, never gathered as a value map in one task."""
+    d = df.select(_c(group).cast("string").alias("g"), _c(value).cast("double").alias("v")) \
+        .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
+    spark = df.sparkSession
+    with passes_over(d) as part:
+        st = {r["g"]: (r["n"], r["a"], r["b"]) for r in part.groupBy("g").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect()}
+        targets: dict[tuple[str, int], list] = {}
+        for g, (n, a, b) in st.items():
+            for q in probs:
+                h = (n - 1) * q
+                for r in {math.floor(h), math.ceil(h)}:
+                    targets[(g, r)] = [a, b, 0]
+        found: dict[tuple[str, int], float] = {}
+        for _ in range(MAX_PASSES):
+            for k, (a, b, below) in targets.items():
+                if k not in found and a == b:
+                    found[k] = a
+            open_t = {k: v for k, v in targets.items() if k not in found}
+            if not open_t:
+                break
+            intervals: dict[tuple[str, float, float], int] = {}
+            for (g, r), (a, b, below) in open_t.items():
+                intervals.setdefault((g, a, b), len(intervals))
+            itab = spark.createDataFrame([(iid, g, a, b) for (g, a, b), iid in intervals.items()],
+                                         "iid int, g string, a double, b double")
+            j = part.join(itab, "g").filter(F.col("v").between(F.col("a"), F.col("b")))
+            bucket = F.least(F.floor((F.col("v") - F.col("a")) / ((F.col("b") - F.col("a")) / BUCKETS)),
+                             F.lit(BUCKETS - 1)).cast("int")
+            hist = j.groupBy("iid", bucket.alias("bucket")).agg(
+                F.count(F.lit(1)).alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+            by_iid: dict[int, list] = {}
+            for h in hist:
+                by_iid.setdefault(h["iid"], []).append((h["bucket"], h["cnt"], h["lo"], h["hi"]))
+            to_collect: dict[tuple[str, float, float], list] = {}
+            for (g, r), (a, b, below) in open_t.items():
+                seen = below
+                for bkt, cnt, lo, hi in sorted(by_iid[intervals[(g, a, b)]]):
+                    if seen + cnt > r:
+                        targets[(g, r)] = [lo, hi, seen]
+                        if lo == hi:
+                            found[(g, r)] = lo
+                        elif cnt <= COLLECT_LIMIT:
+                            to_collect.setdefault((g, lo, hi), []).append((r, seen))
+                        break
+                    seen += cnt
+            if to_collect:
+                ctab = spark.createDataFrame([(i, g, lo, hi) for i, (g, lo, hi) in enumerate(to_collect)],
+                                             "cid int, g string, lo double, hi double")
+                vals = part.join(ctab, "g").filter(F.col("v").between(F.col("lo"), F.col("hi"))) \
+                    .select("cid", "v").collect()
+                per: dict[int, list] = {}
+                for row in vals:
+                    per.setdefault(row["cid"], []).append(row["v"])
+                for i, ((g, lo, hi), ranks) in enumerate(to_collect.items()):
+                    values = sorted(per.get(i, []))
+                    for r, seen in ranks:
+                        found[(g, r)] = values[r - seen]
+        else:
+            raise RuntimeError("quantile refinement did not converge")
+    out = {}
+    for g, (n, a, b) in st.items():
+        res = []
+        for q in probs:
+            h = (n - 1) * q
+            lo, hi = found[(g, math.floor(h))], found[(g, math.ceil(h))]
+            res.append(lo + (hi - lo) * (h - math.floor(h)) if hi != lo else lo)
+        out[g] = (n, res)
+    return out

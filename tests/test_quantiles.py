@@ -22,3 +22,16 @@ def test_empty_and_constant(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 1.0)], "a double, b double")
     got = Q.exact_quantiles(df, ["a", "b"], [0.5])
     assert got == {"a": [None], "b": [1.0]}
+
+
+def test_grouped_quantiles_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(Q, "COLLECT_LIMIT", 40)
+    rng = np.random.default_rng(11)
+    g = np.where(rng.random(3000) < 0.6, "hot", np.where(rng.random(3000) < 0.5, "b", "c"))
+    v = rng.gamma(2.0, size=3000)
+    df = spark.createDataFrame([(str(a), float(b)) for a, b in zip(g, v)], "g string, v double")
+    got = Q.exact_quantiles_by(df, "g", "v", [0.25, 0.5, 0.75])
+    for key in ("hot", "b", "c"):
+        want = np.quantile(v[g == key], [0.25, 0.5, 0.75])
+        assert got[key][0] == int((g == key).sum())
+        assert np.max(np.abs(np.array(got[key][1]) - want)) < 1e-12
