@@ -241,23 +241,61 @@ def top_features(df: DataFrame, numeric: list[str], target: str, k: int) -> list
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise Pearson matrix in long form (row_feature, col_feature, r),
-    pairwise null deletion. Upper triangle in one aggregate, mirrored."""
-    aggs, pairs = [], []
-    for i, a in enumerate(columns):
-        for j in range(i, len(columns)):
-            b = columns[j]
-            aggs.append(safe_corr(c(a).cast("double"), c(b).cast("double")).alias(f"r{i}_{j}"))
-            pairs.append((i, j))
-    wide = df.agg(*aggs)
-    structs = []
-    for i, j in pairs:
-        for (x, y) in {(i, j), (j, i)}:
-            structs.append(F.struct(
-                F.lit(columns[x]).alias("row_feature"), F.lit(x).alias("row_ordinal"),
-                F.lit(columns[y]).alias("col_feature"), F.lit(y).alias("col_ordinal"),
-                F.col(f"r{i}_{j}").alias("r")))
-    return wide.select(F.inline(F.array(*structs)))
+    """Pairwise Pearson matrix in long form (row_feature, row_ordinal,
+    col_feature, col_ordinal, r) with pairwise null deletion; NULL for
+    constant pairs and for fewer than two complete pairs.
+
+    Two passes: column means (one wide aggregate) to centre the data, then
+    pairwise-complete sufficient statistics from four matrix products per
+    Arrow batch (M'M, X'M, (X*X)'M and X'X with M the non-null mask), added
+    up by a tree aggregation. The state is p x p, whatever the row count."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    p = len(columns)
+    with passes_over(df, list(columns)) as part:
+        means = part.agg(*[F.avg(c(x).cast("double")).alias(f"m{i}") for i, x in enumerate(columns)]).first()
+        shift = np.array([means[f"m{i}"] if means[f"m{i}"] is not None else 0.0 for i in range(p)])
+        arr = part.select(F.array(*[c(x).cast("double") for x in columns]).alias("x"))
+
+        def partial(batches):
+            acc = None
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                X = np.stack(pdf["x"].to_numpy()).astype(float)  # Arrow nulls arrive as NaN
+                M = (~np.isnan(X)).astype(float)
+                X0 = np.where(M > 0, X - shift, 0.0)
+                stats = np.concatenate([(M.T @ M).ravel(), (X0.T @ M).ravel(),
+                                        ((X0 * X0).T @ M).ravel(), (X0.T @ X0).ravel()])
+                acc = stats if acc is None else acc + stats
+            if acc is not None:
+                yield pd.DataFrame({"s": [acc]})
+
+        vec = arr.mapInPandas(partial, "s array<double>").select(array_to_vector("s").alias("s")) \
+            .agg(Summarizer.sum(F.col("s")).alias("s")).first()["s"]
+    s = np.asarray(vec.toArray()) if vec is not None else np.zeros(4 * p * p)
+    nn, sx, sxx, sxy = (s[k * p * p:(k + 1) * p * p].reshape(p, p) for k in range(4))
+    rows = []
+    for i in range(p):
+        for j in range(p):
+            n = nn[i, j]
+            r = None
+            if n > 1:
+                # column i restricted to rows where j is present: sx[i, j], sxx[i, j]
+                mx, my = sx[i, j] / n, sx[j, i] / n
+                cov = sxy[i, j] / n - mx * my
+                vx = sxx[i, j] / n - mx * mx
+                vy = sxx[j, i] / n - my * my
+                if vx > 0 and vy > 0:
+                    r = float(cov / np.sqrt(vx * vy))
+                    if vx <= 1e-12 * max(sxx[i, j] / n, 1e-300) or vy <= 1e-12 * max(sxx[j, i] / n, 1e-300):
+                        r = None  # constant up to rounding
+            rows.append((columns[i], i, columns[j], j, r))
+    return df.sparkSession.createDataFrame(
+        rows, "row_feature string, row_ordinal int, col_feature string, col_ordinal int, r double")
 
 
 # ---------------------------------------------------------------- A19 / A20 / K7
