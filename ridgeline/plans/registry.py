@@ -21,10 +21,13 @@ def sig_round(col, digits: int):
     """Round to ``digits`` significant digits with the same IEEE steps the SQL
     side uses (power of ten, multiply, round to integer, divide), so values
     that differ only by summation order map to the same double."""
-    col = F.round(col, 12)  # cancellation noise around zero (e.g. 1 - x/x) -> 0
     k = F.lit(digits - 1) - F.floor(F.log10(F.abs(col)))
     scale = F.pow(F.lit(10.0), k)
-    return F.when(col == 0, F.lit(0.0)).otherwise(F.round(col * scale, 0) / scale)
+    # |x| < 5e-13 is cancellation noise around zero (e.g. 1 - x/x): 0
+    return F.when(F.abs(col) < ZERO_NOISE, F.lit(0.0)).otherwise(F.round(col * scale, 0) / scale)
+
+
+ZERO_NOISE = 5e-13
 
 
 def rounded(df: DataFrame, digits: int = 10) -> DataFrame:
@@ -39,9 +42,9 @@ def rounded(df: DataFrame, digits: int = 10) -> DataFrame:
 
 
 def sql_sig_round(x: str, digits: int) -> str:
-    r = f"round({x}, 12)"
-    k = f"({digits - 1} - floor(log10(abs({r}))))"
-    return (f"CASE WHEN {r} = 0 THEN 0.0 ELSE round({r} * pow(10.0, {k})) / pow(10.0, {k}) END")
+    k = f"({digits - 1} - floor(log10(abs({x}))))"
+    return (f"CASE WHEN abs({x}) < {ZERO_NOISE} THEN 0.0 "
+            f"ELSE round({x} * pow(10.0, {k})) / pow(10.0, {k}) END")
 
 
 def sql_rounded(sql: str, cols: list[str], digits: int = 10) -> str:
