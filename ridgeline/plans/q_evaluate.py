@@ -106,3 +106,17 @@ SELECT model, metric, value,
 FROM lng""", round_cols=["value"])
 def k8_metric_highlight(spark, sf_dir):
     return E.metric_highlight(E.regression_metrics(prediction_table(spark, sf_dir)))
+
+
+@query("s6_json_roundtrip", sql=W(O.PT) + _metrics_sql("model"), round_cols=MCOLS)
+def s6_json_roundtrip(spark, sf_dir):
+    """S6 / S7 + S5: the metric table written as JSON records under the
+    shared checkpoint folder, then read back with its schema."""
+    import uuid
+
+    from ridgeline.session import scratch_path
+    from ridgeline.sources.tables import read_json, write_table
+    m = E.regression_metrics(prediction_table(spark, sf_dir))
+    path = scratch_path(spark, f"sinks/metrics-{uuid.uuid4().hex}")
+    write_table(m, path, "json")
+    return read_json(spark, path, multi_line=False, schema=m.schema)

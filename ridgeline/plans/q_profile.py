@@ -246,3 +246,18 @@ def k2_top20_signed(spark, sf_dir):
 SELECT * FROM (SELECT * FROM nc ORDER BY missing_count DESC, ordinal LIMIT 20) WHERE missing_count > 0""")
 def k3_top_missing(spark, sf_dir):
     return P.top_missing(modelling_table(spark, sf_dir), 20)
+
+
+@query("s8_csv_roundtrip", sql=W(O.CW) + sql_describe("cw", O.CW_NUMERIC + ["SCORE"]),
+       round_cols=DESCRIBE_COLS)
+def s8_csv_roundtrip(spark, sf_dir):
+    """S8 + S4: the describe table written as CSV with a header under the
+    shared checkpoint folder, then read back as a keyed table."""
+    import uuid
+
+    from ridgeline.session import scratch_path
+    from ridgeline.sources.tables import read_csv, write_table
+    cw = customer_wide(spark, sf_dir)
+    path = scratch_path(spark, f"sinks/describe-{uuid.uuid4().hex}")
+    write_table(P.describe(cw, cw_spec(cw).profile_columns), path, "csv")
+    return read_csv(spark, path, schema=P.DESCRIBE_SCHEMA)
