@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from ridgeline.functions.cache import passes_over
 from ridgeline.operators.prepare import TabularPrep
 from ridgeline.spec import FeatureSpec
 
@@ -75,7 +76,12 @@ def build_pipeline(spec: FeatureSpec, kind: str, **params) -> Pipeline:
 
 
 def fit(spec: FeatureSpec, kind: str, train: DataFrame, **params) -> PipelineModel:
-    return build_pipeline(spec, kind, **params).fit(train.filter(F.col(spec.target).isNotNull()))
+    """Fit preparation + regressor; the labelled training rows are built once
+    and kept for the fit's passes (preparation statistics, the learner's
+    own first passes), then released."""
+    labelled = train.filter(F.col(spec.target).isNotNull())
+    with passes_over(labelled) as rows:
+        return build_pipeline(spec, kind, **params).fit(rows)
 
 
 def param_grid(est, grid: dict[str, list]) -> list:
@@ -107,10 +113,14 @@ def cross_validate(spec: FeatureSpec, kind: str, train: DataFrame, grid: dict[st
     pipe = build_pipeline(spec, kind)
     prep, reg = pipe.getStages()
     maps = param_grid(reg, grid)
-    labelled = train.filter(F.col(spec.target).isNotNull())
+    with passes_over(train.filter(F.col(spec.target).isNotNull())) as labelled:
+        return _cross_validate(spec, pipe, prep, reg, maps, labelled, fold_col, parallelism, folds)
+
+
+def _cross_validate(spec, pipe, prep, reg, maps, labelled, fold_col, parallelism, folds):
     ev = RegressionEvaluator(labelCol=spec.target, metricName="rmse")
     sizes = {r[0]: r[1] for r in labelled.groupBy(fold_col).count().collect()}  # k rows
-    cores = train.sparkSession.sparkContext.defaultParallelism
+    cores = labelled.sparkSession.sparkContext.defaultParallelism
     fold_metrics = []
     for f in range(folds):
         tr = labelled.filter(F.col(fold_col) != f)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ridgeline.functions.cache import passes_over
 from ridgeline.operators import profile as P
 from ridgeline.operators import score as R
 from ridgeline.operators.prepare import TabularPrep, impute_numeric
@@ -17,18 +18,18 @@ NUM = O.CW_NUMERIC
 
 
 def _fit(spark, sf_dir):
+    """Defaults, categories and training ranges from one build of the
+    training rows (kept while the fitting passes run)."""
     cw = customer_wide(spark, sf_dir)
     spec = cw_spec(cw)
     train = cw.filter(F.col("bucket") >= 2000)
-    model = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical)).fit(train)
-    st = model.stats
-    medians = {x: s["median"] for x, s in st["numeric"].items()}
-    cats = {x: s["categories"] for x, s in st["categorical"].items()}
-    return cw, spec, train, medians, cats
-
-
-def _ranges(spark, train, spec, medians):
-    return P.feature_ranges(impute_numeric(train.select(*spec.numeric), medians), list(spec.numeric))
+    with passes_over(train.select(*spec.features)) as rows:
+        model = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical)).fit(rows)
+        st = model.stats
+        medians = {x: s["median"] for x, s in st["numeric"].items()}
+        cats = {x: s["categories"] for x, s in st["categorical"].items()}
+        ranges = P.feature_ranges(impute_numeric(rows.select(*spec.numeric), medians), list(spec.numeric))
+    return cw, spec, train, medians, cats, ranges
 
 
 def _features_df(spark, spec):
@@ -69,7 +70,7 @@ FLAGS = ("flags AS (SELECT row_id, l.feature, num_value, str_value, d.\"default\
     + [f"CAST(coalesce({x}, (SELECT \"default\" FROM defaults WHERE feature = '{x}')) AS DOUBLE) AS {x}"
        for x in NUM]) + " FROM st", round_cols=NUM)
 def r1_complete_inputs(spark, sf_dir):
-    cw, spec, train, medians, cats = _fit(spark, sf_dir)
+    cw, spec, train, medians, cats, ranges = _fit(spark, sf_dir)
     st = scoring_table(spark, sf_dir)
     return R.complete_inputs(st, list(spec.features), medians, cats, keep=["c_custkey"])
 
@@ -93,7 +94,7 @@ def r2_r5_score_card(spark, sf_dir):
 @query("r6_change_flags", sql=W(O.CW, O.ST, TRAIN_STATS, _sql_long_inputs(), FLAGS) + "SELECT * FROM flags",
        round_cols=["num_value", '"default"'])
 def r6_change_flags(spark, sf_dir):
-    cw, spec, train, medians, cats = _fit(spark, sf_dir)
+    cw, spec, train, medians, cats, ranges = _fit(spark, sf_dir)
     defaults = spark.createDataFrame(list(medians.items()), "feature string, default double")
     return R.change_flags(scoring_table(spark, sf_dir), "c_custkey", list(spec.numeric),
                           list(spec.categorical), defaults)
@@ -103,7 +104,7 @@ def r6_change_flags(spark, sf_dir):
 SELECT row_id, count(CASE WHEN changed THEN 1 END) AS n_changed, count(*) AS n_shown,
        {len(NUM) + 1} - count(*) AS n_auto_filled FROM flags GROUP BY row_id""")
 def r7_change_counts(spark, sf_dir):
-    cw, spec, train, medians, cats = _fit(spark, sf_dir)
+    cw, spec, train, medians, cats, ranges = _fit(spark, sf_dir)
     defaults = spark.createDataFrame(list(medians.items()), "feature string, default double")
     flags = R.change_flags(scoring_table(spark, sf_dir), "c_custkey", list(spec.numeric),
                            list(spec.categorical), defaults)
@@ -127,8 +128,8 @@ SELECT {_sql_group('feature')} AS feature_group, count(*) AS n_features, min(min
        round_cols=["min_of_min", "max_of_max", "avg_std"])
 def r8_group_rollup(spark, sf_dir):
     """Feature groups by name rule, training ranges rolled up per group."""
-    cw, spec, train, medians, cats = _fit(spark, sf_dir)
-    return R.group_rollup(_ranges(spark, train, spec, medians))
+    cw, spec, train, medians, cats, ranges = _fit(spark, sf_dir)
+    return R.group_rollup(ranges)
 
 
 IMPORTANCE = ",".join([
@@ -167,17 +168,17 @@ SELECT row_id, l.feature, num_value AS value, min, max, num_value BETWEEN min AN
 FROM lng l JOIN ranges r ON l.feature = r.feature WHERE num_value IS NOT NULL""",
        round_cols=["value", "min", "max", "default_clipped"])
 def r11_domain_check(spark, sf_dir):
-    cw, spec, train, medians, cats = _fit(spark, sf_dir)
+    cw, spec, train, medians, cats, ranges = _fit(spark, sf_dir)
     return R.domain_check(scoring_table(spark, sf_dir), "c_custkey", list(spec.numeric),
-                          _ranges(spark, train, spec, medians))
+                          ranges)
 
 
 @query("k9_top_std_features", sql=W(O.CW, TRAIN_STATS) + """
 SELECT feature, ordinal, std FROM ranges ORDER BY std DESC, ordinal LIMIT 12""", round_cols=["std"])
 def k9_top_std_features(spark, sf_dir):
     """K9: fallback key features, top 12 by training std."""
-    cw, spec, train, medians, cats = _fit(spark, sf_dir)
-    r = _ranges(spark, train, spec, medians)
+    cw, spec, train, medians, cats, ranges = _fit(spark, sf_dir)
+    r = ranges
     return r.orderBy(F.col("std").desc(), "ordinal").limit(12).select("feature", "ordinal", "std")
 
 
