@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ridgeline.functions.cache import passes_over
 from ridgeline.operators import profile as P
 from ridgeline.operators import score as R
 from ridgeline.operators.prepare import TabularPrep, impute_numeric
@@ -18,17 +17,16 @@ NUM = O.CW_NUMERIC
 
 
 def _fit(spark, sf_dir):
-    """Defaults, categories and training ranges from one build of the
-    training rows (kept while the fitting passes run)."""
+    """Defaults and categories (the preparation fit) and the training
+    ranges (an eager, per-feature table) of CW's training rows."""
     cw = customer_wide(spark, sf_dir)
     spec = cw_spec(cw)
     train = cw.filter(F.col("bucket") >= 2000)
-    with passes_over(train.select(*spec.features)) as rows:
-        model = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical)).fit(rows)
-        st = model.stats
-        medians = {x: s["median"] for x, s in st["numeric"].items()}
-        cats = {x: s["categories"] for x, s in st["categorical"].items()}
-        ranges = P.feature_ranges(impute_numeric(rows.select(*spec.numeric), medians), list(spec.numeric))
+    model = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical)).fit(train)
+    st = model.stats
+    medians = {x: s["median"] for x, s in st["numeric"].items()}
+    cats = {x: s["categories"] for x, s in st["categorical"].items()}
+    ranges = P.feature_ranges(impute_numeric(train.select(*spec.numeric), medians), list(spec.numeric))
     return cw, spec, train, medians, cats, ranges
 
 
