@@ -3,31 +3,20 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import read_table
+from ridgeline.llm import q_corpus  # noqa: F401  (registers its queries)
+from ridgeline.llm.common import crc_mod, read_table
+from ridgeline.llm.lm_score import language_scores
+from ridgeline.llm.registry import ORACLES, QUERIES, register  # noqa: F401
 from ridgeline.llm.secrets import BASE_KINDS, find_secrets
 from ridgeline.llm.sentencepiece_codec import encode_map
 from ridgeline.llm.topk import top_k
 from ridgeline.llm.url_filter import Rule, filter_urls
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
 # ------------------------------------------------------------------ 2
 
 RULES = [Rule("block", "net/"), Rule("allow", "example.net/en/"),
@@ -128,3 +117,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select("doc_id", *[count(k) for k in BASE_KINDS],
                         F.sha2(line(base), 256).alias("base_sha256"), line(F.col("found")).alias("spans"))
+
+
+# ------------------------------------------------------------------ 8
+
+@register("op8_lm_scoring")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(read_table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 1)
