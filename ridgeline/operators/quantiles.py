@@ -1,214 +1,207 @@
-"""Exact quantiles of many columns without a value -> count map.
-
-Spark's exact ``percentile`` keeps every distinct value of a column (boxed,
-in one map per group) and merges the maps in one task, so its memory grows
-with the data. This operator finds the same order statistics by histogram
-refinement:
-
-1. one aggregate pass gives n, min and max per column; the wanted ranks
-   follow from n (linear interpolation between ranks floor(h) and ceil(h),
-   h = (n - 1) * q, the rule of pandas, NumPy, Spark and DuckDB);
-2. each pass counts the values inside every unresolved rank's current
-   interval into 1,024 equal-width buckets, keeping the bucket's true min
-   and max (a grouped count with map-side combine; bounded output of at most
-   1,024 rows per target), and narrows the interval to the bucket holding
-   the rank;
-3. once an interval holds at most ``collect_limit`` values (or a single
-   distinct value, e.g. a hot key holding a third of all rows) its values
-   are collected and the rank is read off directly.
-
-Every pass reads only the needed columns; the driver only ever holds
-bucket counts and at most ``collect_limit`` values per rank.
+"""Exact quantiles of many columns in a few aggregate passes.
+
+Spark's exact ``percentile`` keeps every distinct value of a column in one map
+per group, so its memory grows with the data. Here the same order statistics
+come from brackets that shrink by rank, not by value:
+
+1. each wanted rank has an open bracket (lo, hi) of values and knows how many
+   values lie below it and inside it;
+2. a pass of ``percentile_approx`` sketches (bounded state, partial
+   aggregation) over the values inside the brackets proposes pivots, and a
+   pass of exact counts around the pivots says which side each rank is on, or
+   that a pivot is the answer;
+3. a bracket with at most ``SMALL`` values is sorted inside the aggregate and
+   only the wanted element is returned.
+
+Pivots are values of the data, so every round shrinks each bracket by at least
+one distinct value and, by the sketch's accuracy, to a few thousandths of its
+rows, whatever the distribution: there is no cap on rounds, rows are never
+multiplied, and the driver holds a few numbers per rank. NaN counts as missing.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.cache import passes_over
 
-BUCKETS = 1024
-COLLECT_LIMIT = 20000
-MAX_PASSES = 12
+SMALL = 4096          # values that one sort inside an aggregate may hold
+ACCURACY = 10_000     # of the sketch: rank error at most rows / ACCURACY
+GRID = 200            # pivots of the grouped form
+CHUNK = 64            # series per aggregate: bounds the width of a plan
 
 
-def _c(name: str) -> Column:
-    return F.col(f"`{name}`")
+def _value(name: str) -> Column:
+    v = F.col(f"`{name}`").cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+@dataclass
+class Bracket:
+    """Open interval of values that holds the element of one rank."""
+
+    rank: int
+    lo: float | None = None
+    hi: float | None = None
+    below: int = 0
+    inside: int = 0
+    found: float | None = None
+
+    def narrow(self, pivot: float, less: int, equal: int) -> None:
+        """``less`` values lie below the pivot, ``equal`` on it."""
+        if self.found is not None:
+            return
+        if self.rank < less:
+            if self.hi is None or pivot <= self.hi:
+                self.hi, self.inside = pivot, less - self.below
+        elif self.rank < less + equal:
+            self.found = pivot
+        elif self.lo is None or pivot >= self.lo:
+            top = self.below + self.inside
+            self.lo, self.below = pivot, less + equal
+            self.inside = top - self.below
+
+
+def _ranks(n: int, probs: list[float]) -> set[int]:
+    return {r for q in probs for r in (math.floor((n - 1) * q), math.ceil((n - 1) * q))}
+
+
+def _lerp(n: int, probs: list[float], found: dict[int, float]) -> list[float | None]:
+    out: list[float | None] = []
+    for q in probs:
+        if not n:
+            out.append(None)
+            continue
+        h = (n - 1) * q
+        lo, hi = found[math.floor(h)], found[math.ceil(h)]
+        out.append(lo if hi == lo or h == math.floor(h) else lo + (hi - lo) * (h - math.floor(h)))
+    return out
+
+
+def _inside(v: Column, b: Bracket) -> Column:
+    """The value if it lies in the bracket, else NULL."""
+    ok = v.isNotNull()
+    if b.lo is not None:
+        ok = ok & (v > F.lit(b.lo))
+    if b.hi is not None:
+        ok = ok & (v < F.lit(b.hi))
+    return F.when(ok, v)
+
+
+def _run(df: DataFrame, aggs: list[Column], size: int = 4 * CHUNK) -> list:
+    out: list = []
+    for i in range(0, len(aggs), size):
+        out += list(df.agg(*[a.alias(f"c{j}") for j, a in enumerate(aggs[i:i + size])]).first())
+    return out
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     stats: dict | None = None) -> dict[str, list[float | None]]:
-    """{column: [quantile for each prob]} with linear interpolation; None for
-    a column without values. ``stats`` may pass {column: (n, min, max)}."""
+    """{column: [quantile for each prob]} with linear interpolation (rank
+    h = (n - 1) * q, as pandas, NumPy and DuckDB); None for a column without
+    values. ``stats`` may pass {column: (n, min, max)}, which saves a count."""
     with passes_over(df, list(columns)) as part:
         return _exact_quantiles(part, list(columns), probs, stats)
 
 
 def _exact_quantiles(df, columns, probs, stats):
-    cols = list(columns)
     if stats is None:
-        aggs = []
-        for i, x in enumerate(cols):
-            v = _c(x).cast("double")
-            aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"b{i}")]
-        row = df.agg(*aggs).first()
-        stats = {x: (row[f"n{i}"], row[f"a{i}"], row[f"b{i}"]) for i, x in enumerate(cols)}
-
-    # targets: (column, rank) -> [lo value, hi value, values below lo]
-    targets: dict[tuple[str, int], list] = {}
-    for x in cols:
-        n, a, b = stats[x]
-        if not n:
-            continue
-        for q in probs:
-            h = (n - 1) * q
-            for r in {math.floor(h), math.ceil(h)}:
-                targets[(x, r)] = [a, b, 0]
-    found: dict[tuple[str, int], float] = {}
-
-    for _ in range(MAX_PASSES):
-        open_t = {k: v for k, v in targets.items() if k not in found}
-        for k, (a, b, below) in list(open_t.items()):
-            if a == b:
-                found[k] = a
-        open_t = {k: v for k, v in open_t.items() if k not in found}
-        if not open_t:
+        ns = _run(df, [F.count(_value(x)) for x in columns])
+        stats = {x: (n, None, None) for x, n in zip(columns, ns)}
+    state = {x: [Bracket(r, inside=stats[x][0]) for r in sorted(_ranks(stats[x][0], probs))]
+             for x in columns if stats[x][0]}
+    while True:
+        todo = [(x, b) for x, bs in state.items() for b in bs if b.found is None]
+        if not todo:
             break
-        # intervals shared by several ranks are counted once
-        intervals: dict[tuple[str, float, float], int] = {}
-        for (x, r), (a, b, below) in open_t.items():
-            intervals.setdefault((x, a, b), len(intervals))
-        structs = []
-        for (x, a, b), iid in intervals.items():
-            v = _c(x).cast("double")
-            width = (b - a) / BUCKETS
-            bucket = F.least(F.floor((v - F.lit(a)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
-            structs.append(F.when(v.between(a, b), F.struct(
-                F.lit(iid).alias("iid"), bucket.alias("bucket"), v.alias("v"))))
-        long = df.select(F.explode(F.array(*structs)).alias("s")).filter(F.col("s").isNotNull())
-        hist = long.groupBy("s.iid", "s.bucket").agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("s.v").alias("lo"), F.max("s.v").alias("hi")).collect()
-        by_iid: dict[int, list] = {}
-        for h in hist:
-            by_iid.setdefault(h["iid"], []).append((h["bucket"], h["cnt"], h["lo"], h["hi"]))
-        to_collect: dict[tuple[str, float, float], list] = {}
-        for (x, r), (a, b, below) in open_t.items():
-            seen = below
-            for bucket, cnt, lo, hi in sorted(by_iid[intervals[(x, a, b)]]):
-                if seen + cnt > r:
-                    targets[(x, r)] = [lo, hi, seen]
-                    if lo == hi:
-                        found[(x, r)] = lo
-                    elif cnt <= COLLECT_LIMIT:
-                        to_collect.setdefault((x, lo, hi), []).append((r, seen))
-                    break
-                seen += cnt
-        if to_collect:
-            structs = [F.when(_c(x).cast("double").between(lo, hi), F.struct(
-                F.lit(j).alias("j"), _c(x).cast("double").alias("v")))
-                for j, (x, lo, hi) in enumerate(to_collect)]
-            vals = df.select(F.explode(F.array(*structs)).alias("s")).filter(F.col("s").isNotNull()) \
-                .select("s.j", "s.v").collect()
-            per: dict[int, list] = {}
-            for row in vals:
-                per.setdefault(row["j"], []).append(row["v"])
-            for j, ((x, lo, hi), ranks) in enumerate(to_collect.items()):
-                values = sorted(per.get(j, []))
-                for r, seen in ranks:
-                    found[(x, r)] = values[r - seen]
-    else:
-        raise RuntimeError("quantile refinement did not converge")
-
-    out: dict[str, list[float | None]] = {}
-    for x in cols:
-        n = stats[x][0]
-        res = []
-        for q in probs:
-            if not n:
-                res.append(None)
-                continue
-            h = (n - 1) * q
-            lo, hi = found[(x, math.floor(h))], found[(x, math.ceil(h))]
-            res.append(lo + (hi - lo) * (h - math.floor(h)) if hi != lo else lo)
-        out[x] = res
-    return out
+        small = [(x, b) for x, b in todo if b.inside <= SMALL]
+        large = [(x, b) for x, b in todo if b.inside > SMALL]
+        # small brackets: the element itself; large ones: pivots around the rank
+        aggs = [F.element_at(F.sort_array(F.collect_list(_inside(_value(x), b))), b.rank - b.below + 1)
+                for x, b in small]
+        for x, b in large:
+            at = (b.rank - b.below + 0.5) / b.inside
+            probe = [max(0.0, at - 2 / ACCURACY), min(1.0, max(0.0, at)), min(1.0, at + 2 / ACCURACY)]
+            aggs.append(F.percentile_approx(_inside(_value(x), b), probe, ACCURACY))
+        got = _run(df, aggs, CHUNK)
+        for (x, b), v in zip(small, got):
+            b.found = v
+        pivots = [sorted(set(p)) for p in got[len(small):]]
+        counts = [c for (x, b), ps in zip(large, pivots) for p in ps
+                  for c in (F.count(F.when(_value(x) < F.lit(p), 1)), F.count(F.when(_value(x) == F.lit(p), 1)))]
+        sums = iter(_run(df, counts))
+        for (x, b), ps in zip(large, pivots):
+            for p in ps:
+                b.narrow(p, next(sums), next(sums))
+    return {x: _lerp(stats[x][0], probs, {b.rank: b.found for b in state.get(x, [])}) for x in columns}
 
 
 def exact_quantiles_by(df: DataFrame, group: str, value: str,
                        probs: list[float]) -> dict[str, tuple[int, list[float]]]:
-    """{group value: (n, [quantile for each prob])} for one value column per
-    group, by the same refinement. The current interval of every open rank
-    is a small table (group, interval id, lo, hi) joined to the rows on the
-    group key, so a group holding a third of all rows is counted by many
-    tasks into buckets, never gathered as a value map in one task."""
-    d = df.select(_c(group).cast("string").alias("g"), _c(value).cast("double").alias("v")) \
+    """{group value: (n, [quantile for each prob])} for one value column.
+
+    The groups are categories (one row each on the driver). Their brackets
+    travel as literal maps, so a pass is one grouped aggregate with partial
+    aggregation: no join, and rows are never shuffled by group."""
+    d = df.select(F.col(f"`{group}`").cast("string").alias("g"), _value(value).alias("v")) \
         .filter(F.col("g").isNotNull() & F.col("v").isNotNull())
-    spark = df.sparkSession
     with passes_over(d) as part:
-        st = {r["g"]: (r["n"], r["a"], r["b"]) for r in part.groupBy("g").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b")).collect()}
-        targets: dict[tuple[str, int], list] = {}
-        for g, (n, a, b) in st.items():
-            for q in probs:
-                h = (n - 1) * q
-                for r in {math.floor(h), math.ceil(h)}:
-                    targets[(g, r)] = [a, b, 0]
-        found: dict[tuple[str, int], float] = {}
-        for _ in range(MAX_PASSES):
-            for k, (a, b, below) in targets.items():
-                if k not in found and a == b:
-                    found[k] = a
-            open_t = {k: v for k, v in targets.items() if k not in found}
-            if not open_t:
+        n_of = {r["g"]: r["n"] for r in part.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()}
+        state = {g: [Bracket(r, inside=n) for r in sorted(_ranks(n, probs))] for g, n in n_of.items()}
+        grid = [i / GRID for i in range(GRID + 1)]
+        while True:
+            todo = {g: [b for b in bs if b.found is None] for g, bs in state.items()}
+            todo = {g: bs for g, bs in todo.items() if bs}
+            if not todo:
                 break
-            intervals: dict[tuple[str, float, float], int] = {}
-            for (g, r), (a, b, below) in open_t.items():
-                intervals.setdefault((g, a, b), len(intervals))
-            itab = spark.createDataFrame([(iid, g, a, b) for (g, a, b), iid in intervals.items()],
-                                         "iid int, g string, a double, b double")
-            j = part.join(itab, "g").filter(F.col("v").between(F.col("a"), F.col("b")))
-            bucket = F.least(F.floor((F.col("v") - F.col("a")) / ((F.col("b") - F.col("a")) / BUCKETS)),
-                             F.lit(BUCKETS - 1)).cast("int")
-            hist = j.groupBy("iid", bucket.alias("bucket")).agg(
-                F.count(F.lit(1)).alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-            by_iid: dict[int, list] = {}
-            for h in hist:
-                by_iid.setdefault(h["iid"], []).append((h["bucket"], h["cnt"], h["lo"], h["hi"]))
-            to_collect: dict[tuple[str, float, float], list] = {}
-            for (g, r), (a, b, below) in open_t.items():
-                seen = below
-                for bkt, cnt, lo, hi in sorted(by_iid[intervals[(g, a, b)]]):
-                    if seen + cnt > r:
-                        targets[(g, r)] = [lo, hi, seen]
-                        if lo == hi:
-                            found[(g, r)] = lo
-                        elif cnt <= COLLECT_LIMIT:
-                            to_collect.setdefault((g, lo, hi), []).append((r, seen))
-                        break
-                    seen += cnt
-            if to_collect:
-                ctab = spark.createDataFrame([(i, g, lo, hi) for i, (g, lo, hi) in enumerate(to_collect)],
-                                             "cid int, g string, lo double, hi double")
-                vals = part.join(ctab, "g").filter(F.col("v").between(F.col("lo"), F.col("hi"))) \
-                    .select("cid", "v").collect()
-                per: dict[int, list] = {}
-                for row in vals:
-                    per.setdefault(row["cid"], []).append(row["v"])
-                for i, ((g, lo, hi), ranks) in enumerate(to_collect.items()):
-                    values = sorted(per.get(i, []))
-                    for r, seen in ranks:
-                        found[(g, r)] = values[r - seen]
-        else:
-            raise RuntimeError("quantile refinement did not converge")
-    out = {}
-    for g, (n, a, b) in st.items():
-        res = []
-        for q in probs:
-            h = (n - 1) * q
-            lo, hi = found[(g, math.floor(h))], found[(g, math.ceil(h))]
-            res.append(lo + (hi - lo) * (h - math.floor(h)) if hi != lo else lo)
-        out[g] = (n, res)
-    return out
+            slots = max(map(len, todo.values()))
+            aggs = []
+            for i in range(slots):
+                mine = {g: bs[i] for g, bs in todo.items() if len(bs) > i}
+                v = _inside_by(mine)
+                aggs.append(F.sort_array(F.collect_list(F.when(F.col("g").isin(
+                    [g for g, b in mine.items() if b.inside <= SMALL]), v))).alias(f"s{i}"))
+                aggs.append(F.percentile_approx(F.when(F.col("g").isin(
+                    [g for g, b in mine.items() if b.inside > SMALL]), v), grid, ACCURACY).alias(f"p{i}"))
+            tests: dict[str, list[tuple[Bracket, list[float]]]] = {}
+            for r in part.filter(F.col("g").isin(list(todo))).groupBy("g").agg(*aggs).collect():
+                for i, b in enumerate(todo[r["g"]]):
+                    if b.inside <= SMALL:
+                        b.found = r[f"s{i}"][b.rank - b.below]
+                    else:
+                        at = (b.rank - b.below + 0.5) / b.inside * GRID
+                        near = {r[f"p{i}"][min(GRID, max(0, k))] for k in
+                                (math.floor(at) - 1, math.floor(at), math.ceil(at), math.ceil(at) + 1)}
+                        tests.setdefault(r["g"], []).append((b, sorted(near)))
+            if not tests:
+                continue
+            flat = {g: [(b, p) for b, ps in bs for p in ps] for g, bs in tests.items()}
+            aggs = []
+            for j in range(max(map(len, flat.values()))):
+                p = _lookup({g: ps[j][1] for g, ps in flat.items() if len(ps) > j})
+                aggs += [F.count(F.when(F.col("v") < p, 1)).alias(f"l{j}"), F.count(F.when(F.col("v") == p, 1)).alias(f"e{j}")]
+            for r in part.filter(F.col("g").isin(list(flat))).groupBy("g").agg(*aggs).collect():
+                for j, (b, p) in enumerate(flat[r["g"]]):
+                    b.narrow(p, r[f"l{j}"], r[f"e{j}"])
+    return {g: (n, _lerp(n, probs, {b.rank: b.found for b in state[g]})) for g, n in n_of.items()}
+
+
+def _lookup(values: dict[str, float]) -> Column:
+    return F.create_map(*[x for g, v in values.items() for x in (F.lit(g), F.lit(v))])[F.col("g")]
+
+
+def _inside_by(brackets: dict[str, Bracket]) -> Column:
+    low = {g: b.lo for g, b in brackets.items() if b.lo is not None}
+    high = {g: b.hi for g, b in brackets.items() if b.hi is not None}
+    ok = F.col("g").isin(list(brackets))
+    if low:
+        bound = _lookup(low)
+        ok = ok & (bound.isNull() | (F.col("v") > bound))
+    if high:
+        bound = _lookup(high)
+        ok = ok & (bound.isNull() | (F.col("v") < bound))
+    return F.when(ok, F.col("v"))
