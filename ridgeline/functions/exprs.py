@@ -60,3 +60,11 @@ def safe_corr(x: Column, y: Column) -> Column:
 
 def null_count(c: Column) -> Column:
     return F.sum(c.isNull().cast("long"))
+
+
+def literal_map(key: Column, values: dict) -> Column:
+    """``values[key]`` as an expression (double); NULL for other keys. For a few
+    entries, such as one per category."""
+    if not values:
+        return F.lit(None).cast("double")
+    return F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(v).cast("double"))])[key]

@@ -5,14 +5,13 @@ Scale notes
 -----------
 * Histogram and KDE need min / max / std first; these are scalar subqueries
   (one small aggregate each, executed once), not joins.
-* The KDE is computed on a pre-binned table: every value is counted into
-  one of ``cells`` equal cells (a grouped count, partial aggregation), and
-  the curve is evaluated from the cell counts at the grid points. Work on
-  the data is O(n); the curve costs O(cells x grid) regardless of n. The
-  binning error is below 1e-4 of the peak for 4,096 cells.
-* Per-category statistics are grouped aggregations joined back on the
-  category (one row per category; AQE broadcasts it after checking its
-  runtime size).
+* The KDE sums the kernel over cells no wider than an eighth of the
+  bandwidth, whatever the row count. A cell keeps the power sums of its
+  values' offsets t from its centre (a grouped aggregate), and the kernel is
+  expanded in them: exp(-(z - t)^2 / 2) = exp(-z^2 / 2) sum He_j(z) t^j / j!.
+  With |t| <= 1/16 eight terms give about ten digits. Work on the data is O(n).
+* Per-category parameters (one row per category) travel as literal maps, so
+  rows are aggregated where they lie and never shuffled by category.
 """
 
 from __future__ import annotations
@@ -23,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.cache import passes_over
+from ridgeline.functions.exprs import literal_map
 from ridgeline.operators.quantiles import exact_quantiles, exact_quantiles_by
 
 SQRT_2PI = math.sqrt(2 * math.pi)
@@ -55,34 +55,74 @@ def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
 
 
-def _cell(v: Column, lo: Column, hi: Column, cells: int) -> Column:
-    return F.when(hi > lo, F.least(F.floor((v - lo) / ((hi - lo) / cells)), F.lit(cells - 1))) \
-        .otherwise(0).cast("long")
-
-
-def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 0.0,
-              cells: int = 4096, count_bins: int = 40) -> DataFrame:
+CELLS_PER_BANDWIDTH = 8
+TERMS = 9
+REACH = 38.0  # bandwidths beyond which a double's kernel value is zero
+
+
+def _cells(d: DataFrame, by: list[str], v: Column, lo: Column, h: Column) -> DataFrame:
+    """(by, cell, m0..m8): power sums of (v - centre) / h per cell of width h / 8."""
+    cell = F.floor((v - lo) / (h / CELLS_PER_BANDWIDTH)).cast("long")
+    t = (v - lo) / h - (F.col("cell") + 0.5) / CELLS_PER_BANDWIDTH
+    d = d.withColumn("cell", cell).withColumn("t", t)
+    sums = [F.count(F.lit(1)).cast("double").alias("m0"), F.sum("t").alias("m1")]
+    power = F.col("t")
+    for j in range(2, TERMS):
+        power = power * F.col("t")
+        sums.append(F.sum(power).alias(f"m{j}"))
+    return d.groupBy(*by, "cell").agg(*sums)
+
+
+def _kernel(z: Column) -> Column:
+    """Sum of the kernel over a cell's values, from its power sums."""
+    he = [F.lit(1.0), z]
+    for j in range(2, TERMS):
+        he.append(z * he[j - 1] - (j - 1) * he[j - 2])
+    total = F.col("m0")
+    for j in range(1, TERMS):
+        total = total + he[j] * F.col(f"m{j}") / math.factorial(j)
+    return F.exp(-0.5 * z * z) * total
+
+
+def _densities(d: DataFrame, params: dict[str, tuple], grid: int, cut: float) -> DataFrame:
+    """d (g, y) -> (g, k, x, density): Gaussian KDE of every group on ``grid``
+    points of [lo - cut * h, hi + cut * h]. ``params``: group -> (n, lo, hi, h);
+    NULL density where the bandwidth h is zero or undefined."""
+    spark = d.sparkSession
+    g, k = F.col("g"), F.col("k")
+    ok = {x: p for x, p in params.items() if p[3]}
+    n, lo, hi, h = (literal_map(g, {x: p[i] for x, p in ok.items()}) for i in range(4))
+    cells = _cells(d.filter(h.isNotNull()), ["g"], F.col("y"), lo, h)
+    start = lo - h * cut
+    step = (hi - lo + h * (2 * cut)) / (grid - 1)
+    centre = lo + (F.col("cell") + 0.5) * (h / CELLS_PER_BANDWIDTH)
+    first = F.greatest(F.lit(0), F.ceil((centre - h * REACH - start) / step)).cast("long")
+    last = F.least(F.lit(grid - 1), F.floor((centre + h * REACH - start) / step)).cast("long")
+    pts = cells.filter(first <= last).withColumn("k", F.explode(F.sequence(first, last)))
+    sums = pts.groupBy("g", "k").agg(F.sum(_kernel((start + k * step - centre) / h)).alias("s"))
+    axis = spark.createDataFrame([(x, float(p[1]), float(p[2]), float(p[3] or 0.0)) for x, p in params.items()],
+                                 "g string, lo double, hi double, h double")
+    x = F.col("lo") - F.col("h") * cut + k * ((F.col("hi") - F.col("lo") + F.col("h") * (2 * cut)) / (grid - 1))
+    axis = (axis.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))))
+            .select("g", "k", x.alias("x")))
+    # sums has at most one row per grid point of a group
+    return axis.join(sums, ["g", "k"], "left").select(
+        "g", "k", "x", F.when(h.isNotNull(), F.coalesce("s", F.lit(0.0)) / (n * h * SQRT_2PI)).alias("density"))
+
+
+def _bandwidth(n: int, sd: float | None) -> float | None:
+    return sd * n ** -0.2 if n and sd is not None and sd > 0 else None  # Scott's rule
+
+
+def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 0.0, count_bins: int = 40) -> DataFrame:
     """Gaussian KDE with Scott's bandwidth (n^-1/5 * sample std) on a
     ``grid``-point support [min - cut*h, max + cut*h]; ``count_curve`` is
     the density scaled to a ``count_bins``-bin histogram (n * bin width)."""
-    v = _c(col).cast("double")
-    st = _stats(df, v)
-    n, lo, hi, sd = (st.getField(x) for x in ("n", "lo", "hi", "sd"))
-    h = sd * F.pow(n.cast("double"), -0.2)
-    cw = (hi - lo) / cells
-    counts = (df.filter(v.isNotNull()).select(_cell(v, lo, hi, cells).alias("cell"))
-              .groupBy("cell").agg(F.count(F.lit(1)).alias("cnt")))
-    g_lo, g_hi = lo - h * cut, hi + h * cut
-    k = F.col("k")
-    x = g_lo + k * (g_hi - g_lo) / (grid - 1)
-    center = lo + (F.col("cell") + 0.5) * cw
-    z = F.try_divide(x - center, h)
-    pts = counts.select("cell", "cnt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))).alias("k"))
-    contrib = pts.select("k", (F.col("cnt") * F.exp(-0.5 * z * z)).alias("w"))
-    dens = contrib.groupBy("k").agg(F.sum("w").alias("s"))
-    density = F.try_divide(F.col("s"), n * h * SQRT_2PI)
-    return dens.select("k", x.alias("x"), density.alias("density"),
-                       (density * n * (hi - lo) / count_bins).alias("count_curve"))
+    d = df.select(F.lit("").alias("g"), _c(col).cast("double").alias("y")).filter(F.col("y").isNotNull())
+    n, lo, hi, sd = d.agg(F.count("y"), F.min("y"), F.max("y"), F.stddev_samp("y")).first()
+    params = {"": (n, lo, hi, _bandwidth(n, sd))} if n else {}
+    width = n * (hi - lo) / count_bins if n else 0.0
+    return _densities(d, params, grid, cut).select("k", "x", "density", (F.col("density") * width).alias("count_curve"))
 
 
 def ols_fit(df: DataFrame, features: list[str], y: str) -> list[dict]:
@@ -135,32 +175,29 @@ def _by_category(df: DataFrame, cat: str, y: str) -> DataFrame:
             .filter(F.col("category").isNotNull() & F.col("y").isNotNull()))
 
 
-def _quartile_table(df: DataFrame, cat: str, y: str, whis: float) -> DataFrame:
-    """Per-category n and exact quartiles (grouped histogram refinement),
-    as a small table with one row per category."""
-    qs = exact_quantiles_by(df, cat, y, [0.25, 0.5, 0.75])
-    rows = []
-    for g, (n, (q1, med, q3)) in qs.items():
-        iqr = q3 - q1
-        rows.append((g, n, q1, med, q3, q1 - whis * iqr, q3 + whis * iqr))
-    return df.sparkSession.createDataFrame(
-        rows, "category string, n bigint, q1 double, median double, q3 double, lo_fence double, hi_fence double")
+def _fences(qs: dict, whis: float) -> tuple[Column, Column]:
+    """Lower and upper fence of the row's category."""
+    cat = F.col("category")
+    return (literal_map(cat, {g: q1 - whis * (q3 - q1) for g, (_, (q1, _, q3)) in qs.items()}),
+            literal_map(cat, {g: q3 + whis * (q3 - q1) for g, (_, (q1, _, q3)) in qs.items()}))
 
 
 def box_stats(df: DataFrame, cat: str, y: str, whis: float = 1.5) -> DataFrame:
     """Per category n, quartiles (linear interpolation), whiskers at the
-    furthest data point within whis * IQR of the box, and outlier count.
-    The per-category table is joined back on the category."""
+    furthest data point within whis * IQR of the box (at the box itself where
+    that point lies inside it), and outlier count."""
     d = _by_category(df, cat, y)
-    q = _quartile_table(df, cat, y, whis)
-    j = d.join(q.select("category", "lo_fence", "hi_fence"), "category")
+    qs = exact_quantiles_by(df, cat, y, [0.25, 0.5, 0.75])
+    lo, hi = _fences(qs, whis)
     yv = F.col("y")
-    w = j.groupBy("category").agg(
-        F.min(F.when(yv >= F.col("lo_fence"), yv)).alias("whisker_lo"),
-        F.max(F.when(yv <= F.col("hi_fence"), yv)).alias("whisker_hi"),
-        F.count(F.when((yv < F.col("lo_fence")) | (yv > F.col("hi_fence")), 1)).alias("n_outliers"))
-    return q.join(w, "category").select(
-        "category", "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")
+    w = d.groupBy("category").agg(
+        F.min(F.when(yv >= lo, yv)).alias("lo"), F.max(F.when(yv <= hi, yv)).alias("hi"),
+        F.count(F.when((yv < lo) | (yv > hi), 1)).alias("n_outliers"))
+    q = df.sparkSession.createDataFrame([(g, n, *q) for g, (n, q) in qs.items()],
+                                        "category string, n bigint, q1 double, median double, q3 double")
+    return q.join(w, "category").select(  # one row per category on both sides
+        "category", "n", "q1", "median", "q3", F.least("q1", "lo").alias("whisker_lo"),
+        F.greatest("q3", "hi").alias("whisker_hi"), "n_outliers")
 
 
 def box_outliers(df: DataFrame, cat: str, y: str, key: str, whis: float = 1.5) -> DataFrame:
@@ -168,37 +205,18 @@ def box_outliers(df: DataFrame, cat: str, y: str, key: str, whis: float = 1.5) -
     d = df.select(_c(key).alias("row_id"), _c(cat).cast("string").alias("category"),
                   _c(y).cast("double").alias("y")).filter(
         F.col("category").isNotNull() & F.col("y").isNotNull())
-    q = _quartile_table(df, cat, y, whis).select("category", "lo_fence", "hi_fence")
-    return d.join(q, "category").filter((F.col("y") < F.col("lo_fence")) | (F.col("y") > F.col("hi_fence"))) \
-            .select("row_id", "category", "y")
+    lo, hi = _fences(exact_quantiles_by(df, cat, y, [0.25, 0.5, 0.75]), whis)
+    return d.filter((F.col("y") < lo) | (F.col("y") > hi)).select("row_id", "category", "y")
 
 
-def violin_density(df: DataFrame, cat: str, y: str, grid: int = 100, cut: float = 2.0,
-                   cells: int = 4096) -> DataFrame:
+def violin_density(df: DataFrame, cat: str, y: str, grid: int = 100, cut: float = 2.0) -> DataFrame:
     """Per-category Gaussian KDE (Scott bandwidth), support extended by
     ``cut`` bandwidths on both sides, ``grid`` points."""
-    d = _by_category(df, cat, y)
-    st = d.groupBy("category").agg(
-        F.count(F.lit(1)).alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"),
-        F.stddev_samp("y").alias("sd"))
-    st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), -0.2))
-    lo, hi, h, n = F.col("lo"), F.col("hi"), F.col("h"), F.col("n")
-    counts = (d.join(st.select("category", "lo", "hi"), "category")
-              .select("category", _cell(F.col("y"), lo, hi, cells).alias("cell"))
-              .groupBy("category", "cell").agg(F.count(F.lit(1)).alias("cnt")))
-    pts = counts.join(st, "category").select(
-        "category", "cell", "cnt", "n", "lo", "hi", "h",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))).alias("k"))
-    g_lo, g_hi = lo - h * cut, hi + h * cut
-    x = g_lo + F.col("k") * (g_hi - g_lo) / (grid - 1)
-    center = lo + (F.col("cell") + 0.5) * ((hi - lo) / cells)
-    z = F.try_divide(x - center, h)
-    contrib = pts.select("category", "k", x.alias("x"), "n", "h",
-                         (F.col("cnt") * F.exp(-0.5 * z * z)).alias("w"))
-    dens = contrib.groupBy("category", "k").agg(
-        F.first("x").alias("x"), F.first("n").alias("n"), F.first("h").alias("h"), F.sum("w").alias("s"))
-    return dens.select("category", "k", "x",
-                       F.try_divide(F.col("s"), F.col("n") * F.col("h") * SQRT_2PI).alias("density"))
+    d = _by_category(df, cat, y).withColumnRenamed("category", "g")
+    st = d.groupBy("g").agg(F.count("y").alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"),
+                            F.stddev_samp("y").alias("sd")).collect()  # one row per category
+    params = {r["g"]: (r["n"], r["lo"], r["hi"], _bandwidth(r["n"], r["sd"])) for r in st}
+    return _densities(d, params, grid, cut).withColumnRenamed("g", "category")
 
 
 def scatter_series(df: DataFrame, features: list[str], y: str, key: str) -> DataFrame:

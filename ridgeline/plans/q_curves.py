@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ridgeline.operators import curves as C
 from ridgeline.operators import profile as P
 from ridgeline.plans import oracle_fixtures as O
@@ -41,19 +43,16 @@ def a12_target_histogram(spark, sf_dir):
 
 
 KDE_SQL = W(O.MT, """
-st AS (SELECT count(charge) AS n, min(charge) AS lo, max(charge) AS hi, stddev_samp(charge) AS sd,
+st AS (SELECT count(charge) AS n, min(charge) AS lo, max(charge) AS hi,
               stddev_samp(charge) * pow(CAST(count(charge) AS DOUBLE), -0.2) AS h FROM mt)""", """
-cells AS (SELECT CAST(CASE WHEN hi > lo THEN least(floor((charge - lo) / ((hi - lo) / 4096)), 4095) ELSE 0 END AS BIGINT) AS cell,
-                 count(*) AS cnt FROM mt, st WHERE charge IS NOT NULL GROUP BY 1)""", """
-pts AS (SELECT g.k, lo + g.k * ((hi - lo) / 199) AS x,
-               cnt * exp(-0.5 * pow((lo + g.k * ((hi - lo) / 199) - (lo + (cell + 0.5) * ((hi - lo) / 4096))) / h, 2)) AS w
-        FROM cells CROSS JOIN st CROSS JOIN range(200) g(k))""") + """
-SELECT k, x, sum(w) / (n * h * sqrt(2 * pi())) AS density,
-       sum(w) / (n * h * sqrt(2 * pi())) * n * (hi - lo) / 40 AS count_curve
-FROM pts CROSS JOIN st GROUP BY k, x, n, h, hi, lo"""
+axis AS (SELECT g.k, lo + g.k * ((hi - lo) / 199) AS x FROM st CROSS JOIN range(200) g(k))""", """
+sums AS (SELECT k, x, sum(exp(-0.5 * pow((x - charge) / h, 2))) AS s
+         FROM axis CROSS JOIN st CROSS JOIN mt WHERE charge IS NOT NULL GROUP BY k, x)""") + """
+SELECT k, x, s / (n * h * sqrt(2 * pi())) AS density,
+       s / (n * h * sqrt(2 * pi())) * n * (hi - lo) / 40 AS count_curve FROM sums CROSS JOIN st"""
 
 
-@query("a13_target_kde", sql=KDE_SQL, round_cols=["x", "density", "count_curve"])
+@query("a13_target_kde", sql=KDE_SQL, round_cols=["x", "density", "count_curve"], digits=8)
 def a13_target_kde(spark, sf_dir):
     return C.kde_curve(modelling_table(spark, sf_dir), "charge", grid=200, cut=0.0)
 
@@ -82,8 +81,8 @@ f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM
 
 
 @query("a16_box_stats", sql=BOX + """
-SELECT f.category, n, q1, median, q3, min(CASE WHEN y >= lo_f THEN y END) AS whisker_lo,
-       max(CASE WHEN y <= hi_f THEN y END) AS whisker_hi, count(CASE WHEN y < lo_f OR y > hi_f THEN 1 END) AS n_outliers
+SELECT f.category, n, q1, median, q3, least(q1, min(CASE WHEN y >= lo_f THEN y END)) AS whisker_lo,
+       greatest(q3, max(CASE WHEN y <= hi_f THEN y END)) AS whisker_hi, count(CASE WHEN y < lo_f OR y > hi_f THEN 1 END) AS n_outliers
 FROM d JOIN f ON d.category = f.category GROUP BY f.category, n, q1, median, q3""",
        round_cols=["q1", "median", "q3", "whisker_lo", "whisker_hi"])
 def a16_box_stats(spark, sf_dir):
@@ -97,18 +96,29 @@ def a16_box_outliers(spark, sf_dir):
     return C.box_outliers(modelling_table(spark, sf_dir), "l_returnflag", "charge", "rk")
 
 
+SKEWED = W(O.MT, """
+d AS (SELECT rk, l_returnflag AS category, charge * charge AS y FROM mt WHERE l_returnflag IS NOT NULL AND charge IS NOT NULL)""", """
+q AS (SELECT category, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.75) AS q3 FROM d GROUP BY category)""")
+
+
+@query("a16_box_outliers_skewed", sql=SKEWED + """
+SELECT rk AS row_id, d.category, y FROM d JOIN q ON d.category = q.category
+WHERE y < q1 - 1.5 * (q3 - q1) OR y > q3 + 1.5 * (q3 - q1)""", round_cols=["y"])
+def a16_box_outliers_skewed(spark, sf_dir):
+    """A16 on a skewed value, where rows do lie outside the fences."""
+    mt = modelling_table(spark, sf_dir).withColumn("squared", F.col("charge") * F.col("charge"))
+    return C.box_outliers(mt, "l_returnflag", "squared", "rk")
+
+
 @query("a17_violin_density", sql=W(O.MT, """
 d AS (SELECT l_returnflag AS category, charge AS y FROM mt WHERE l_returnflag IS NOT NULL AND charge IS NOT NULL)""", """
 st AS (SELECT category, count(*) AS n, min(y) AS lo, max(y) AS hi,
               stddev_samp(y) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM d GROUP BY category)""", """
-cells AS (SELECT d.category, CAST(CASE WHEN hi > lo THEN least(floor((y - lo) / ((hi - lo) / 4096)), 4095) ELSE 0 END AS BIGINT) AS cell,
-                 count(*) AS cnt FROM d JOIN st ON d.category = st.category GROUP BY 1, 2)""", """
-pts AS (SELECT c.category, g.k, (lo - h * 2.0) + g.k * ((hi + h * 2.0) - (lo - h * 2.0)) / 99 AS x, n, h,
-               cnt * exp(-0.5 * pow(((lo - h * 2.0) + g.k * ((hi + h * 2.0) - (lo - h * 2.0)) / 99
-                                     - (lo + (cell + 0.5) * ((hi - lo) / 4096))) / h, 2)) AS w
-        FROM cells c JOIN st ON c.category = st.category CROSS JOIN range(100) g(k))""") + """
-SELECT category, k, x, sum(w) / (n * h * sqrt(2 * pi())) AS density FROM pts GROUP BY category, k, x, n, h""",
-       round_cols=["x", "density"])
+axis AS (SELECT category, g.k, (lo - h * 2.0) + g.k * ((hi + h * 2.0) - (lo - h * 2.0)) / 99 AS x, n, h
+        FROM st CROSS JOIN range(100) g(k))""") + """
+SELECT a.category, a.k, a.x, sum(exp(-0.5 * pow((a.x - d.y) / a.h, 2))) / (a.n * a.h * sqrt(2 * pi())) AS density
+FROM axis a JOIN d ON d.category = a.category GROUP BY a.category, a.k, a.x, a.n, a.h""",
+       round_cols=["x", "density"], digits=8)
 def a17_violin_density(spark, sf_dir):
     return C.violin_density(modelling_table(spark, sf_dir), "l_returnflag", "charge")
 
