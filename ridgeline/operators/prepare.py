@@ -75,6 +75,7 @@ def _fit_statistics(df, numeric, categorical, approx):
         aggs = [F.count(F.lit(1)).alias("n")]
         for i, x in enumerate(numeric):
             v = _c(x).cast("double")
+            v = F.when(~F.isnan(v), v)  # NaN is missing
             aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}"),
                      F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
             if approx:
@@ -90,7 +91,7 @@ def _fit_statistics(df, numeric, categorical, approx):
         for i, x in enumerate(numeric):
             n1, m1, v1, med = row[f"c{i}"], row[f"m{i}"], row[f"v{i}"], medians[x]
             if not n1:
-                med, mean, std = 0.0, 0.0, 0.0
+                med, mean, std, m2 = 0.0, 0.0, 0.0, 0.0
             else:
                 # imputed column = n1 observed values + (n - n1) copies of the median;
                 # combine the two groups' moments (parallel variance formula)
@@ -99,8 +100,11 @@ def _fit_statistics(df, numeric, categorical, approx):
                 mean = m1 + delta * k / n
                 m2 = v1 * n1 + delta * delta * n1 * k / n
                 std = math.sqrt(max(m2 / n, 0.0))
-            stats["numeric"][x] = {"median": med, "mean": mean,
-                                   "scale": std if std >= 10 * EPS else 1.0}
+            stats["numeric"][x] = {
+                "median": med, "mean": mean, "scale": std if std >= 10 * EPS else 1.0,
+                # of the imputed column: its median, least and greatest value are those observed
+                "min": row[f"lo{i}"] if n1 else 0.0, "max": row[f"hi{i}"] if n1 else 0.0,
+                "std": math.sqrt(max(m2, 0.0) / (n - 1)) if n > 1 else None}
     if categorical:
         long = df.select(F.inline(F.array(*[
             F.struct(F.lit(x).alias("column"), _c(x).cast("string").alias("value"))

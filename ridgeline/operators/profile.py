@@ -7,10 +7,8 @@ Scale notes
   (partial aggregation on every task, one small final merge) and the single
   result row is unpivoted with ``inline``; the data itself is never
   unpivoted, so the row count is not multiplied by the column count.
-* Exact percentiles (``percentile``) keep a value -> count map per column,
-  which is bounded by the number of distinct values. ``approx=True`` switches
-  to ``percentile_approx`` (bounded sketch) for continuous columns on very
-  large tables.
+* Exact quantiles come from shrinking rank brackets (``operators.quantiles``);
+  ``approx=True`` takes them from ``percentile_approx`` in the same aggregate.
 * Groupings by value (duplicates, modes, categories) use hash aggregation
   with map-side partial aggregation, so a value that holds a third of all
   rows is combined on each task before the shuffle.
@@ -37,6 +35,8 @@ def _unpivot_row(wide: DataFrame, fields: list[tuple[str, dict[str, str]]],
     """Turn a one-row wide aggregate into one row per entry.
 
     ``fields`` = [(label, {out_col: wide_col, ...}), ...]."""
+    if not fields:
+        raise ValueError("no columns to unpivot")
     structs = []
     for i, (label, cols) in enumerate(fields):
         parts = [F.lit(label).alias(key), F.lit(i).alias("ordinal")]
@@ -49,7 +49,9 @@ def _unpivot_row(wide: DataFrame, fields: list[tuple[str, dict[str, str]]],
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A2: (column, ordinal, missing_count) for the given columns, one pass."""
-    cols = list(columns or df.columns)
+    cols = list(df.columns if columns is None else columns)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, ordinal int, missing_count bigint")
     wide = df.agg(*[null_count(c(x)).alias(f"n{i}") for i, x in enumerate(cols)])
     return _unpivot_row(wide, [(x, {"missing_count": f"n{i}"}) for i, x in enumerate(cols)])
 
@@ -85,9 +87,14 @@ def top_missing(df: DataFrame, k: int = 20) -> DataFrame:
 # ---------------------------------------------------------------- A4 / A5 / A1
 
 def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """A4: rows that repeat an earlier row (all columns; NULL equals NULL)."""
-    cols = [c(x) for x in (columns or df.columns)]
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_k"))
+    """A4: rows that repeat an earlier row (all columns; NULL equals NULL).
+
+    Rows are grouped by a 128-bit digest of their values and of which of them
+    are NULL, so the shuffle carries 16 bytes a row, not the row."""
+    cols = [c(x) for x in (df.columns if columns is None else columns)]
+    nulls = F.concat(F.lit(""), *[F.when(x.isNull(), "1").otherwise("0") for x in cols])
+    digest = [F.xxhash64(nulls, *cols).alias("_a"), F.xxhash64(F.lit(7), *reversed(cols), nulls).alias("_b")]
+    groups = df.select(*digest).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_k"))
     return groups.agg(F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
@@ -141,7 +148,7 @@ def describe(df: DataFrame, columns: list[str], approx: bool = False,
     transposed to one row per column (a bounded, column-sized result).
 
     One wide aggregate gives the moments; the quartiles are exact order
-    statistics from histogram refinement (``operators.quantiles``) or, with
+    statistics from rank brackets (``operators.quantiles``) or, with
     ``approx``, ``percentile_approx`` sketches in the same aggregate."""
     with passes_over(df, list(columns)) as part:
         return _describe(part, columns, approx, accuracy)
@@ -178,6 +185,16 @@ def feature_ranges(imputed_train: DataFrame, numeric: list[str], approx: bool =
     return d.select("feature", "ordinal", "min", "max", F.col("p50").alias("median"), "mean", "std")
 
 
+def fitted_ranges(spark, stats: dict, numeric: list[str]) -> DataFrame:
+    """A8 from a preparation fit: imputing the median leaves the median and the
+    extremes as they are, and the fit has the imputed moments, so the rows are
+    not read again."""
+    rows = [(x, i, *(stats["numeric"][x][k] for k in ("min", "max", "median", "mean", "std")))
+            for i, x in enumerate(numeric)]
+    return spark.createDataFrame(
+        rows, "feature string, ordinal int, min double, max double, median double, mean double, std double")
+
+
 def feature_defaults(ranges: DataFrame) -> DataFrame:
     """Default input value per feature = training median."""
     return ranges.select("feature", "ordinal", F.col("median").alias("default"))
@@ -195,6 +212,8 @@ def category_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """Sorted distinct non-null values per categorical column, as a long
     table (column, value, value_rank). Distinct is a grouped aggregation, so
     no single task ever collects a whole column."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, value_rank bigint")
     d = _long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("column").orderBy("value")
     return d.select("column", "value", F.row_number().over(w).cast("long").alias("value_rank"))
@@ -205,6 +224,8 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Counts per (column, value) are a grouped aggregation (map-side combine);
     the ranking window then runs over one row per distinct value only."""
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, mode string, count bigint")
     counts = _long_values(df, columns).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy("column").orderBy(F.col("count").desc(), F.col("value"))
@@ -217,6 +238,8 @@ def modes(df: DataFrame, columns: list[str]) -> DataFrame:
 def target_correlations(df: DataFrame, numeric: list[str], target: str) -> DataFrame:
     """A10: Pearson r of each numeric feature with the target, pairwise null
     deletion, NULL for constant columns. One wide aggregate."""
+    if not numeric:
+        return df.sparkSession.createDataFrame([], "feature string, ordinal int, r double")
     y = c(target).cast("double")
     wide = df.agg(*[safe_corr(c(x).cast("double"), y).alias(f"r{i}") for i, x in enumerate(numeric)])
     return _unpivot_row(wide, [(x, {"r": f"r{i}"}) for i, x in enumerate(numeric)], key="feature")

@@ -152,15 +152,14 @@ def key_features(importance: DataFrame, features: DataFrame, k: int = 12,
     is empty, ``fallback`` (feature, rank) is used (K9: top-k by std)."""
     ranked = importance.join(features, "feature", "left_semi")
     if fallback is not None:
-        has_imp = importance.limit(1).count() > 0
-        if not has_imp:
-            ranked = fallback
+        none = fallback.join(importance.limit(1), F.lit(True), "left_anti")  # rows only without importances
+        ranked = ranked.select("feature", "rank").unionByName(none.select("feature", "rank"))
     top = ranked.orderBy("rank").limit(k).join(features, "feature")
     cats = features.filter(F.col("kind") == "categorical").select(
         "feature", F.lit(None).cast("long").alias("rank"), "kind")
     missing_cats = cats.join(top.filter(F.col("kind") == "categorical"), "feature", "left_anti")
-    add = missing_cats if top.filter(F.col("kind") == "categorical").limit(1).count() == 0 else \
-        missing_cats.limit(0)
+    add = missing_cats.join(top.filter(F.col("kind") == "categorical").limit(1).select(F.lit(1).alias("_any")),
+                            F.lit(True), "left_anti")
     return top.select("feature", F.col("rank").cast("long").alias("rank"), "kind").unionByName(add)
 
 

@@ -70,6 +70,45 @@ def s2_missing_normalised(spark, sf_dir):
     return P.null_counts(normalize_missing(modelling_table(spark, sf_dir)))
 
 
+@query("s1_csv_scan", sql="""
+SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_discount END AS l_discount,
+       CASE WHEN l_linenumber % 4 = 1 THEN NULL ELSE l_returnflag END AS l_returnflag FROM lineitem""",
+       round_cols=["l_quantity", "l_discount"])
+def s1_csv_scan(spark, sf_dir):
+    """Lineitem written as CSV with NA tokens in place of values, read
+    back with inferred types (quantities are written as ``17.0``)."""
+    import uuid
+
+    from ridgeline.session import scratch_path
+    from ridgeline.sources.tables import read_csv, write_table
+    li = read_table(spark, sf_dir, "lineitem")
+    no = F.col("l_linenumber")
+    text = li.select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("l_quantity"),
+        F.when(no % 3 == 0, F.when(no % 2 == 0, "NA").otherwise("null")).otherwise(
+            F.col("l_discount").cast("double").cast("string")).alias("l_discount"),
+        F.when(no % 4 == 1, "N/A").otherwise(F.col("l_returnflag")).alias("l_returnflag"))
+    path = scratch_path(spark, f"sinks/lineitem-csv-{uuid.uuid4().hex}")
+    write_table(text, path, "csv")
+    out = read_csv(spark, path)
+    assert dict(out.dtypes)["l_quantity"] == "double" and dict(out.dtypes)["l_orderkey"] == "bigint"
+    return out
+
+
+@query("s2_nan_and_tokens", sql="""
+SELECT 'l_quantity' AS "column", 0 AS ordinal, count(CASE WHEN l_linenumber % 5 = 0 THEN 1 END) AS missing_count FROM lineitem
+UNION ALL SELECT 'l_returnflag', 1, count(CASE WHEN l_linenumber % 4 = 1 THEN 1 END) FROM lineitem
+UNION ALL SELECT 'l_orderkey', 2, 0 FROM lineitem""".replace(" 0 FROM lineitem", " count(*) - count(l_orderkey) FROM lineitem"))
+def s2_nan_and_tokens(spark, sf_dir):
+    """S2 with NaN and NA tokens present: both count as missing."""
+    no = F.col("l_linenumber")
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.when(no % 5 == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity").cast("double")).alias("l_quantity"),
+        F.when(no % 4 == 1, F.when(no % 8 == 1, "#N/A").otherwise("None")).otherwise(F.col("l_returnflag"))
+        .alias("l_returnflag"), "l_orderkey")
+    return P.null_counts(normalize_missing(li))
+
+
 @query("p3_xy_projection",
        sql=W(O.MT) + "SELECT rk, " + ", ".join(MT_FEATURES) + ", charge FROM mt",
        round_cols=["l_quantity", "l_extendedprice", "l_discount", "l_tax", "charge"])

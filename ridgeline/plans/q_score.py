@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.operators import profile as P
 from ridgeline.operators import score as R
-from ridgeline.operators.prepare import TabularPrep, impute_numeric
+from ridgeline.operators.prepare import TabularPrep
 from ridgeline.plans import oracle_fixtures as O
 from ridgeline.plans.q_profile import W
 from ridgeline.plans.registry import query
@@ -17,8 +17,8 @@ NUM = O.CW_NUMERIC
 
 
 def _fit(spark, sf_dir):
-    """Defaults and categories (the preparation fit) and the training
-    ranges (an eager, per-feature table) of CW's training rows."""
+    """Defaults, categories and ranges of CW's training rows, all from one
+    preparation fit."""
     cw = customer_wide(spark, sf_dir)
     spec = cw_spec(cw)
     train = cw.filter(F.col("bucket") >= 2000)
@@ -26,7 +26,7 @@ def _fit(spark, sf_dir):
     st = model.stats
     medians = {x: s["median"] for x, s in st["numeric"].items()}
     cats = {x: s["categories"] for x, s in st["categorical"].items()}
-    ranges = P.feature_ranges(impute_numeric(train.select(*spec.numeric), medians), list(spec.numeric))
+    ranges = P.fitted_ranges(spark, st, list(spec.numeric))
     return cw, spec, train, medians, cats, ranges
 
 
@@ -153,6 +153,18 @@ def r9_key_features(spark, sf_dir):
     return _key_features(spark, sf_dir)[0]
 
 
+@query("r9_key_features_fallback", sql=W(O.CW, TRAIN_STATS) + """
+SELECT feature, row_number() OVER (ORDER BY std DESC, ordinal) AS rank, 'numeric' AS kind
+FROM (SELECT * FROM ranges ORDER BY std DESC, ordinal LIMIT 12)
+UNION ALL SELECT 'CAT_SEGMENT', CAST(NULL AS BIGINT), 'categorical'""")
+def r9_key_features_fallback(spark, sf_dir):
+    """R9 + K9: without importances the features with the largest spread."""
+    cw, spec, train, medians, cats, ranges = _fit(spark, sf_dir)
+    fallback = P.ranked_top(ranges.select("feature", "ordinal", "std"), "std", 12, "ordinal").select("feature", "rank")
+    none = P.ranked_top(P.mean_abs_by(explanation_table(spark, sf_dir).filter("false")), "mean_abs_shap", 15, "feature")
+    return R.key_features(none, _features_df(spark, spec), 12, fallback)
+
+
 @query("r10_remaining_features", sql=W(O.CW, O.XT, IMPORTANCE) + " UNION ALL ".join(
     f"SELECT '{x}' AS feature" for x in NUM) + " EXCEPT SELECT feature FROM keyf")
 def r10_remaining_features(spark, sf_dir):

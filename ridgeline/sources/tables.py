@@ -64,8 +64,9 @@ def normalize_missing(df: DataFrame, na_tokens: list[str] | None = None) -> Data
 
 def infer_csv_types(df: DataFrame) -> DataFrame:
     """Type string columns the way a CSV reader with an NA-token set would:
-    a column whose every non-missing value parses as a number becomes
-    bigint (all integral) or double; everything else stays string.
+    a column whose every non-missing value is written as a whole number that
+    fits becomes bigint, one whose every value parses as a number (``1.0``,
+    ``1e3``) double; everything else stays string.
 
     One aggregate pass over the data decides all columns at once.
     """
@@ -75,11 +76,11 @@ def infer_csv_types(df: DataFrame) -> DataFrame:
     aggs = []
     for c in str_cols:
         col = F.col(f"`{c}`")
-        d = F.try_cast(col, "double") if hasattr(F, "try_cast") else col.try_cast("double")
+        whole = F.when(col.rlike(r"^\s*[+-]?[0-9]+\s*$"), col.try_cast("bigint"))
         aggs += [
             F.count(col).alias(f"n_{len(aggs)}"),
-            F.count(d).alias(f"d_{len(aggs)}"),
-            F.count(F.when(d == F.floor(d), d)).alias(f"i_{len(aggs)}"),
+            F.count(col.try_cast("double")).alias(f"d_{len(aggs)}"),
+            F.count(whole).alias(f"i_{len(aggs)}"),
         ]
     stats = df.agg(*aggs).first()
     casts = {}

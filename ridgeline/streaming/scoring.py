@@ -43,7 +43,8 @@ def start_scoring_stream(spark: SparkSession, source: DataFrame, model: Pipeline
     scored = score_applicants(source, model, feature_cols, defaults, categories, dataset_mean, key)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("append").parquet(os.path.join(sink_path, f"epoch={epoch_id}"))
+        # a replayed epoch replaces its folder, so its rows are there once
+        batch.write.mode("overwrite").parquet(os.path.join(sink_path, f"epoch={epoch_id}"))
 
     writer = (scored.writeStream.queryName(name)
               .option("checkpointLocation", os.path.join(checkpoint_dir(spark), "streams", name))

@@ -27,9 +27,22 @@ def test_median_mode_scale_onehot(spark, tmp_path):
 
 
 def test_fit_ignores_test_rows(spark):
-    a = TabularPrep(numericCols=["x"], categoricalCols=["g"]).fit(_train(spark)).stats
-    b = TabularPrep(numericCols=["x"], categoricalCols=["g"]).fit(_train(spark)).stats
-    assert a == b
+    """Held-out rows with other values, categories and gaps change nothing."""
+    from ridgeline.operators.models import fit
+    from ridgeline.operators.split import exact_split, train_test
+    from ridgeline.spec import detect_roles
+
+    rows = [(i, float(i % 7), "High" if i % 2 else "Low", float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, x double, g string, y double")
+    train, test = train_test(exact_split(df, "id"))
+    held = {r["id"] for r in test.select("id").collect()}
+    assert 0 < len(held) < 60
+    other = spark.createDataFrame([(i, 1e6, "Unseen", -1e6) if i in held else (i, x, g, y) for i, x, g, y in rows],
+                                  "id long, x double, g string, y double")
+    train2, _ = train_test(exact_split(other, "id"))
+    spec = detect_roles(df, "y", id_cols=["id"])
+    stats = [fit(spec, "decision_tree", t, maxDepth=2).stages[0].stats for t in (train, train2)]
+    assert stats[0] == stats[1] and "Unseen" not in stats[0]["categorical"]["g"]["categories"]
 
 
 def test_constant_column_scale_one(spark):

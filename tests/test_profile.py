@@ -97,3 +97,35 @@ def test_kde_close_to_exact(spark):
         worst = max(worst, abs(exact - r["density"]))
     peak = max(r["density"] for r in out)
     assert worst < 1e-3 * peak
+
+
+def test_tables_without_categories_or_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0)], "x double, y double")
+    assert P.category_values(df, []).count() == 0 and P.modes(df, []).count() == 0
+    assert P.null_counts(df, []).count() == 0 and P.null_counts(df).count() == 2
+    assert P.duplicate_count(df.unionAll(df)).first()[0] == 2
+    none = df.where("false")
+    assert P.duplicate_count(none).first()[0] == 0
+    assert P.describe(none, ["x"]).first()["p50"] is None
+    one = P.describe(df.limit(1), ["x"]).first()
+    assert one["p25"] == one["p75"] == one["min"] and one["std"] is None
+
+
+def test_duplicates_tell_nulls_apart(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (1, None), (None, None)], "a int, b int")
+    assert P.duplicate_count(df).first()[0] == 1
+
+
+def test_ranges_from_the_fit_equal_ranges_of_the_imputed_rows(spark):
+    from ridgeline.operators.prepare import TabularPrep, impute_numeric
+
+    df = spark.createDataFrame([(float(i) if i % 3 else None, float(i * i)) for i in range(20)] + [(float("nan"), None)], "x double, z double")
+    stats = TabularPrep(numericCols=["x", "z"]).fit(df).stats
+    a = P.fitted_ranges(spark, stats, ["x", "z"]).collect()
+    med = {k: v["median"] for k, v in stats["numeric"].items()}
+    clean = df.selectExpr("if(isnan(x), null, x) x", "z")
+    b = P.feature_ranges(impute_numeric(clean, med), ["x", "z"]).collect()
+    for r, s in zip(a, b):
+        assert r["feature"] == s["feature"]
+        for k in ("min", "max", "median", "mean", "std"):
+            assert abs(r[k] - s[k]) < 1e-9, k

@@ -34,3 +34,32 @@ def test_csv_write_read(spark, tmp_path):
     S.write_table(df, path, "csv")
     back = S.read_csv(spark, path, schema="feature string, default double")
     assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_csv_numbers_are_typed_by_how_they_are_written(spark, tmp_path):
+    p = tmp_path / "n.csv"
+    p.write_text("a,b,c,d\n1.0,1e3,7,9223372036854775808\n2.0,2,NA,1\n")
+    df = S.read_csv(spark, str(p))
+    assert dict(df.dtypes) == {"a": "double", "b": "double", "c": "bigint", "d": "double"}
+    assert [tuple(r)[:3] for r in df.collect()] == [(1.0, 1000.0, 7), (2.0, 2.0, None)]
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(monkeypatch):
+    import pytest
+
+    from ridgeline import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: Conf())
+
+    class Session:
+        sparkContext, conf = Context, Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session)
