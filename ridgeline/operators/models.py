@@ -33,16 +33,19 @@ from ridgeline.spec import FeatureSpec
 SEED = 42
 MAX_DEPTH_UNLIMITED = 30  # Spark's largest tree depth stands in for "no limit"
 
+SPLIT = "minRowsToSplit"  # grid dimension of single trees, see operators/tree_grid.py
+
 # The reference's hyper-parameter grids, mapped to Spark names
-# (min_samples_split has no Spark equivalent and is dropped; colsample_bytree
-# becomes the per-node feature fraction).
-DT_GRID = {"maxDepth": [3, 5, 8, 12, 20, MAX_DEPTH_UNLIMITED], "minInstancesPerNode": [1, 2, 5, 10]}
+# (colsample_bytree becomes the per-node feature fraction; the forest's
+# min_samples_split has no Spark equivalent).
+DT_GRID = {"maxDepth": [3, 5, 8, 12, 20, MAX_DEPTH_UNLIMITED], "minInstancesPerNode": [1, 2, 5, 10],
+           SPLIT: [2, 5, 10, 20]}
 RF_GRID = {"numTrees": [100, 200], "maxDepth": [MAX_DEPTH_UNLIMITED, 10, 20],
            "minInstancesPerNode": [1, 2, 5]}
 GBT_GRID = {"maxIter": [200, 500], "maxDepth": [3, 5, 8], "stepSize": [0.01, 0.05, 0.1],
             "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.8", "all"]}
 CV_FOLDS = 5
-ROWS_PER_FIT_PARTITION = 200_000
+ROWS_PER_FIT_PARTITION = 25_000
 
 MODEL_KINDS = ["linear_regression", "decision_tree", "random_forest", "xgboost"]
 TREE_KINDS = {"decision_tree", "random_forest", "xgboost"}
@@ -79,11 +82,23 @@ def fit(spec: FeatureSpec, kind: str, train: DataFrame, **params) -> PipelineMod
     """Fit preparation + regressor; the labelled training rows are built once
     and kept for the fit's passes (preparation statistics, the learner's
     own first passes), then released."""
-    labelled = train.filter(F.col(spec.target).isNotNull())
-    with passes_over(labelled) as rows:
+    with passes_over(fit_rows(spec, train)) as rows:
         return build_pipeline(spec, kind, **params).fit(rows)
 
 
+def fit_rows(spec: FeatureSpec, train: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Labelled training rows, dealt and ordered by a hash of their values into
+    as many partitions as their number asks for. Learners that draw rows per
+    partition (bagging, subsampling) then give the same model whatever the
+    input's partitions or the cluster's size."""
+    rows = train.filter(F.col(spec.target).isNotNull()).select(
+        *[f"`{c}`" for c in [*spec.features, spec.target, *keep]])
+    parts = max(1, -(-rows.count() // ROWS_PER_FIT_PARTITION))
+    digest = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    return (rows.withColumn("_digest", digest).repartition(parts, "_digest")
+            .sortWithinPartitions("_digest").drop("_digest"))
+
+
 def param_grid(est, grid: dict[str, list]) -> list:
     b = ParamGridBuilder()
     for name, values in grid.items():
@@ -112,33 +127,59 @@ def cross_validate(spec: FeatureSpec, kind: str, train: DataFrame, grid: dict[st
     Folds come from a hash column: the same on every run and executor."""
     pipe = build_pipeline(spec, kind)
     prep, reg = pipe.getStages()
-    maps = param_grid(reg, grid)
-    with passes_over(train.filter(F.col(spec.target).isNotNull())) as labelled:
+    with passes_over(fit_rows(spec, train, [fold_col])) as labelled:
+        if SPLIT in grid:
+            return _cross_validate_tree(spec, pipe, prep, reg, grid, labelled, fold_col, parallelism, folds)
+        maps = param_grid(reg, grid)
         return _cross_validate(spec, pipe, prep, reg, maps, labelled, fold_col, parallelism, folds)
 
 
+def _cross_validate_tree(spec, pipe, prep, reg, grid, labelled, fold_col, parallelism, folds):
+    """The grid of a single tree: one fit per fold and leaf size, all depths and
+    split minimums from the fitted tree."""
+    from ridgeline.operators.explain import ensemble
+    from ridgeline.operators.tree_grid import squared_errors
+
+    spark = labelled.sparkSession
+    depths, leaves, splits = grid["maxDepth"], grid["minInstancesPerNode"], grid[SPLIT]
+    points = [{"maxDepth": d, "minInstancesPerNode": n, SPLIT: s} for d in depths for n in leaves for s in splits]
+    fold_metrics = []
+    for f in range(folds):
+        tr = labelled.filter(F.col(fold_col) != f)
+        prep_model = prep.fit(tr)
+        tr_x = prep_model.transform(tr).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
+        va_x = prep_model.transform(labelled.filter(F.col(fold_col) == f)).select("features", spec.target)
+
+        def score(n: int, tr_x=tr_x, va_x=va_x) -> np.ndarray:
+            model = reg.fit(tr_x, {reg.maxDepth: max(depths), reg.minInstancesPerNode: n})
+            return squared_errors(ensemble(spark, model)[0], va_x, spec.target, depths, splits)
+
+        with ThreadPool(parallelism) as pool:
+            by_leaf = pool.map(inheritable_thread_target(score), leaves)
+        tr_x.unpersist()
+        fold_metrics.append([float(by_leaf[leaves.index(p["minInstancesPerNode"])][
+            depths.index(p["maxDepth"]), splits.index(p[SPLIT])]) for p in points])
+    avg = [float(np.mean([fm[i] for fm in fold_metrics])) for i in range(len(points))]
+    best = min(range(len(points)), key=lambda i: (avg[i], i))
+    # the refit obeys depth and leaf size; Spark's learner has no split minimum
+    refit = {reg.getParam(k): v for k, v in points[best].items() if k != SPLIT}
+    return CVResult(avg, fold_metrics, best, pipe.copy(refit).fit(labelled)), points
+
+
 def _cross_validate(spec, pipe, prep, reg, maps, labelled, fold_col, parallelism, folds):
     ev = RegressionEvaluator(labelCol=spec.target, metricName="rmse")
-    sizes = {r[0]: r[1] for r in labelled.groupBy(fold_col).count().collect()}  # k rows
-    cores = labelled.sparkSession.sparkContext.defaultParallelism
     fold_metrics = []
     for f in range(folds):
         tr = labelled.filter(F.col(fold_col) != f)
         va = labelled.filter(F.col(fold_col) == f)
         prep_model = prep.fit(tr)
-        # partitions sized to the data (~200k rows each): thousands at scale,
-        # one or two on a small table, where parallel fits then use the cores
-        n_tr = sum(v for k, v in sizes.items() if k != f)
-        parts = max(1, -(-n_tr // ROWS_PER_FIT_PARTITION))
-        tr_x = prep_model.transform(tr).select("features", spec.target)
-        tr_x = (tr_x.coalesce(parts) if parts < cores else tr_x).persist(StorageLevel.MEMORY_AND_DISK)
+        tr_x = prep_model.transform(tr).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
         va_x = prep_model.transform(va).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
-        threads = max(parallelism, cores // parts)
 
         def score(i: int, tr_x=tr_x, va_x=va_x) -> float:
             return float(ev.evaluate(reg.fit(tr_x, maps[i]).transform(va_x)))
 
-        with ThreadPool(threads) as pool:
+        with ThreadPool(parallelism) as pool:
             fold_metrics.append(pool.map(inheritable_thread_target(score), range(len(maps))))
         tr_x.unpersist()
         va_x.unpersist()
@@ -148,11 +189,15 @@ def _cross_validate(spec, pipe, prep, reg, maps, labelled, fold_col, parallelism
     return CVResult(avg, fold_metrics, best, best_model), maps
 
 
+def _named(point: dict) -> dict:
+    return {getattr(k, "name", k): v for k, v in point.items()}
+
+
 def cv_table(spark: SparkSession, cvm, maps: list, kind: str) -> DataFrame:
     """M8: one row per grid point: its parameters (as text) and mean CV RMSE."""
     rows = []
     for i, (pm, m) in enumerate(zip(maps, cvm.avgMetrics)):
-        params = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
+        params = ", ".join(f"{k}={v}" for k, v in sorted(_named(pm).items()))
         rows.append((kind, i, params, float(m)))
     return spark.createDataFrame(rows, "model string, grid_index int, params string, cv_rmse double")
 
@@ -161,8 +206,7 @@ def best_params_table(spark: SparkSession, cvm, maps: list, kind: str) -> DataFr
     """(model, param, value, cv_rmse) of the winning grid point."""
     metrics = list(cvm.avgMetrics)
     best = min(range(len(metrics)), key=lambda i: (metrics[i], i))
-    rows = [(kind, p.name, str(v), float(metrics[best]))
-            for p, v in sorted(maps[best].items(), key=lambda kv: kv[0].name)]
+    rows = [(kind, k, str(v), float(metrics[best])) for k, v in sorted(_named(maps[best]).items())]
     return spark.createDataFrame(rows, "model string, param string, value string, cv_rmse double")
 
 

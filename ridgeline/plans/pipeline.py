@@ -26,7 +26,7 @@ from ridgeline.operators import models as M
 from ridgeline.operators import profile as P
 from ridgeline.operators import split as S
 from ridgeline.operators.mlp import MLPRegressor, history_table
-from ridgeline.operators.prepare import TabularPrep, impute_numeric
+from ridgeline.operators.prepare import TabularPrep
 from ridgeline.sources.tables import normalize_missing, read_csv, write_table
 from ridgeline.spec import FeatureSpec, detect_roles, role_table
 
@@ -50,6 +50,11 @@ def run_pipeline(spark: SparkSession, data: DataFrame, target: str, key: str, ou
     data = normalize_missing(data)
     spec: FeatureSpec = detect_roles(data, target, id_cols=list(id_cols) + [key], exclude_cols=exclude_cols)
 
+    # the input is stored once; everything below reads the stored columns
+    data_path = os.path.join(out, "tables/input")
+    write_table(data, data_path)
+    data = spark.read.parquet(data_path)
+
     # 1. profile (all rows) -------------------------------------------------
     _write(role_table(spark, data, spec), out, "data_summary/roles")
     _write(P.overview(data, spec), out, "data_summary/dataset_overview", "json")
@@ -81,8 +86,7 @@ def run_pipeline(spark: SparkSession, data: DataFrame, target: str, key: str, ou
 
     # 3. preparation metadata (imputed training rows) ------------------------
     prep = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical)).fit(train)
-    medians = {x: s["median"] for x, s in prep.stats["numeric"].items()}
-    ranges = P.feature_ranges(impute_numeric(train.select(*spec.numeric), medians), list(spec.numeric))
+    ranges = P.fitted_ranges(spark, prep.stats, list(spec.numeric))
     _write(ranges, out, "data_summary/feature_ranges", "csv")
     _write(P.feature_defaults(ranges), out, "data_summary/feature_defaults", "csv")
 
@@ -102,12 +106,13 @@ def run_pipeline(spark: SparkSession, data: DataFrame, target: str, key: str, ou
         p = M.predict(model, test, key, label=target, name=kind)
         predictions = p if predictions is None else predictions.unionByName(p)
     net_prep = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical),
-                           scale=True).fit(train.filter(~F.col("is_val")))
+                           scale=True).fit(train)
     net = MLPRegressor(labelCol=target, keyCol=key, validationCol="is_val",
                        maxEpochs=mlp_epochs).fit(net_prep.transform(train))
     _write(history_table(spark, net.history), out, "metrics/mlp_history", "json")
     from pyspark.ml import PipelineModel
     mlp = PipelineModel(stages=[net_prep, net])
+    mlp.write().overwrite().save(os.path.join(out, "models", "mlp"))
     predictions = predictions.unionByName(M.predict(mlp, test, key, label=target, name="mlp"))
     if best_params:
         allp = best_params[0]

@@ -65,3 +65,36 @@ def test_ols_min_norm_matches_numpy(spark):
     got = np.array([r[0] for r in m.transform(df).select("prediction").collect()])
     want = Xf @ ref + (y.mean() - Xf.mean(0) @ ref)
     assert np.max(np.abs(got - want)) < 1e-8
+
+
+def test_models_do_not_depend_on_input_partitions(spark):
+    mt, spec, train, test = _mt(spark)
+    for kind, params in (("random_forest", {"numTrees": 5, "maxDepth": 4}),
+                         ("xgboost", {"maxIter": 4, "maxDepth": 3, "subsamplingRate": 0.5})):
+        sums = [M.fit(spec, kind, train.repartition(n), **params).transform(test).agg(F.sum("prediction")).first()[0]
+                for n in (2, 8)]
+        assert abs(sums[0] - sums[1]) < 1e-6 * abs(sums[0]), kind
+
+
+def test_tree_grid_equals_separate_fits(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    mt, spec, train, test = _mt(spark)
+    train = train.withColumn("fold", fold_column("rk").cast("int"))
+    grid = {"maxDepth": [2, 4], "minInstancesPerNode": [3, 20], M.SPLIT: [2, 2000]}
+    cvm, points = M.cross_validate(spec, "decision_tree", train, grid, parallelism=2)
+    assert len(points) == len(cvm.avgMetrics) == 8
+    rows = M.fit_rows(spec, train, ["fold"])
+    ev = RegressionEvaluator(labelCol=spec.target, metricName="rmse")
+    for d in (2, 4):
+        for n in (3, 20):
+            want = []
+            for k in range(5):
+                m = M.build_pipeline(spec, "decision_tree", maxDepth=d, minInstancesPerNode=n).fit(rows.filter(F.col("fold") != k))
+                want.append(ev.evaluate(m.transform(rows.filter(F.col("fold") == k))))
+            i = points.index({"maxDepth": d, "minInstancesPerNode": n, M.SPLIT: 2})
+            assert abs(cvm.avgMetrics[i] - np.mean(want)) < 1e-9
+    by = {p["maxDepth"]: cvm.avgMetrics[i] for i, p in enumerate(points) if p["minInstancesPerNode"] == 3 and p[M.SPLIT] == 2000}
+    full = {p["maxDepth"]: cvm.avgMetrics[i] for i, p in enumerate(points) if p["minInstancesPerNode"] == 3 and p[M.SPLIT] == 2}
+    assert by[4] != full[4]  # the split minimum cuts the deeper tree
+    params = {r["param"] for r in M.best_params_table(spark, cvm, points, "decision_tree").collect()}
+    assert params == {"maxDepth", "minInstancesPerNode", M.SPLIT}
