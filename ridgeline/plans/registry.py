@@ -73,5 +73,5 @@ def query(name: str, sql: str | None = None, round_cols: list[str] | None = None
 def load_all() -> None:
     """Import the modules that register queries."""
     from ridgeline.plans import (  # noqa: F401
-        q_profile, q_curves, q_prepare, q_evaluate, q_score, q_explain, q_models,
+        q_profile, q_curves, q_prepare, q_evaluate, q_score, q_explain, q_models, q_identities,
     )
