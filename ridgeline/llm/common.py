@@ -173,3 +173,43 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
 
 def as_i64(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+# ---------------------------------------------------------------- bounded filters
+
+MAX_BITS = 1 << 27  # 16 MB
+SHIFTS = (0, 16, 32)
+
+
+def bitmap_of(df: DataFrame, column: str) -> np.ndarray:
+    """Bloom filter of a long column: three bits per value, taken from the value
+    and its right shifts modulo the size. The size is 128 bits per value up to
+    MAX_BITS; a fuller bitmap lets more foreign values through, never fewer own
+    ones, so it may only stand before an exact join. At most MAX_BITS / 64 words
+    reach the driver."""
+    bits = min(MAX_BITS, 1 << max(16, (128 * df.count()).bit_length()))
+    slots = F.array(*[F.pmod(F.shiftrightunsigned(column, k), F.lit(bits)) for k in SHIFTS])
+    words = (df.select(F.explode(slots).alias("slot"))
+             .select(F.shiftright("slot", 6).alias("at"), F.pmod(F.col("slot"), F.lit(64)).cast("int").alias("bit"))
+             .groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("w")).toArrow())
+    out = np.zeros(bits // 64, np.uint64)
+    out[words.column("at").to_numpy()] = words.column("w").to_numpy().view(np.uint64)
+    return out
+
+
+def bitmap_has(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values (64-bit) may be in the bitmap."""
+    low = U64(len(bits) * 64 - 1)
+
+    def test(v: np.ndarray, k: int) -> np.ndarray:
+        slot = (v >> U64(k)) & low
+        return (bits[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63)) & U64(1)).astype(bool)
+
+    v = values.view(np.uint64)
+    ok = test(v, SHIFTS[0])
+    at = np.flatnonzero(ok)
+    for k in SHIFTS[1:]:
+        at = at[test(v[at], k)]
+    ok[:] = False
+    ok[at] = True
+    return ok

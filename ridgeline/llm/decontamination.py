@@ -11,7 +11,7 @@ must be long enough and at least ``identity`` of its words must agree.
 
 Before the join, positions that hit no item hash are dropped by a bitmap of the
 item hashes (one bit per hash modulo its size). The bitmap is built by a Spark
-aggregation and its size is bounded by ``MAX_BITS``; a fuller bitmap lets more
+aggregation and its size is bounded (``common.MAX_BITS``); a fuller bitmap lets more
 positions through to the join, never fewer. Documents send their hits in
 clusters that carry the surrounding words, so texts are not read again.
 
@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import U64, as_i64, doc_slices, splitmix, stored, text_buffers, word_hashes
+from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, splitmix, stored, text_buffers,
+                                  word_hashes)
 
 #: Fixed masks, six words each under spans of 6 to 11: any 13 words with one
 #: substitution, and most with two or three, keep a hit under one of them.
 MASKS = ("111111", "1101011001", "11001010011")
-MAX_BITS = 1 << 27
 LEAST, IDENTITY = 12, 0.75
 
 
@@ -90,18 +90,6 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     return items.mapInArrow(run, "item_id long, n long, words array<bigint>, seeds array<struct<h:bigint,p:bigint>>")
 
 
-def seed_bitmap(seeds: DataFrame) -> np.ndarray:
-    """Bit ``h mod size`` for every item hash; at most MAX_BITS bits."""
-    count = seeds.count()
-    bits = min(MAX_BITS, 1 << max(16, (64 * count).bit_length()))
-    slot = F.pmod(F.col("h"), F.lit(bits))
-    words = (seeds.select(F.shiftright(slot, 6).alias("at"), F.pmod(slot, F.lit(64)).cast("int").alias("bit"))
-             .groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("w")).toArrow())
-    out = np.zeros(bits // 64, np.uint64)
-    out[words.column("at").to_numpy()] = words.column("w").to_numpy().view(np.uint64)
-    return out
-
-
 CLUSTER = "doc_id long, start long, words array<bigint>, hits array<struct<h:bigint,p:bigint>>"
 
 
@@ -113,7 +101,6 @@ def hit_clusters(docs: DataFrame, bitmap, masks: tuple[str, ...], short: list[in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
-        low = U64(len(bits) * 64 - 1)
         for batch in batches:
             data, offs = text_buffers(batch.column("text"))
             ids = batch.column("doc_id").to_pylist()
@@ -126,8 +113,7 @@ def hit_clusters(docs: DataFrame, bitmap, masks: tuple[str, ...], short: list[in
                     h = seed_hashes(words, m)
                     if not len(h):
                         continue
-                    slot = h & low
-                    at = np.flatnonzero(bits[(slot >> U64(6)).astype(np.int64)] >> (slot & U64(63)) & U64(1))
+                    at = np.flatnonzero(bitmap_has(bits, h))
                     at = at[owner[at] == owner[at + len(m) - 1]]  # inside one document
                     found_h.append(h[at])
                     found_p.append(at)
@@ -179,7 +165,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         return spark.createDataFrame([], schema)
     seeds = table.select("item_id", F.explode("seeds").alias("s")).select("item_id", "s.h", F.col("s.p").alias("q"))
     seeds = stored(seeds.distinct(), "seeds")
-    bitmap = spark.sparkContext.broadcast(seed_bitmap(seeds.select("h").distinct()))
+    bitmap = spark.sparkContext.broadcast(bitmap_of(seeds.select("h").distinct(), "h"))
     clusters = stored(hit_clusters(docs, bitmap, masks, sorted(facts["short"]), int(facts["reach"])).distinct(), "seed-clusters")
     hits = clusters.select("doc_id", "start", F.explode("hits").alias("s")).select("doc_id", "start", "s.h", "s.p")
     lines = (hits.join(seeds, "h").select("doc_id", "start", "item_id", (F.col("p") - F.col("q")).alias("shift"))

@@ -43,6 +43,15 @@ def test_word_hashes_are_the_words_in_any_cut():
     assert len(set(seen.values())) == len(seen)
 
 
+def test_bitmap_keeps_its_own_values(spark):
+    rng = np.random.default_rng(8)
+    own = np.concatenate([rng.integers(-2**63, 2**63 - 1, 3000), np.arange(-5, 500)])
+    bits = C.bitmap_of(spark.createDataFrame([(int(x),) for x in own], "h long"), "h")
+    assert C.bitmap_has(bits, own).all()
+    assert C.bitmap_has(bits, rng.integers(-2**63, 2**63 - 1, 100_000)).mean() < 1e-3
+    assert not C.bitmap_has(C.bitmap_of(spark.createDataFrame([], "h long"), "h"), own).any()
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(25)] + [(5, 5), (None, 3)]
@@ -418,14 +427,15 @@ def test_model_is_a_distribution_and_gradient_is_right():
     feats = M.contexts(np.array([3, 9, 200, 3, 17]), np.array([0, 2, 5]))
     assert feats[0].tolist() == [255, 3, 255, 200, 3] and (feats[1] - 256).tolist() == [255, 255, 255, 255, 200]
     one = feats[:, 3:4]
-    total = sum(np.exp(float(model.forward(one, np.array([s]))[2][0])) for s in range(M.SLOTS))
+    total = sum(np.exp(float(model.forward(one, np.array([s]))[4][0])) for s in range(M.SLOTS))
     assert abs(total - 1) < 1e-4
-    a, b, log_p = model.forward(one, np.array([37]))
+    a, b, sa, sb, log_p = model.forward(one, np.array([37]))
+    a, b = a / sa[:, None], b / sb[:, None]
     f, c, eps = int(one[0, 0]), 37 // M.PER_CLASS, 1e-2
     for out, want in ((c, 1 - a[0, c]), (M.CLASSES + 37, 1 - b[0, 37 % M.PER_CLASS])):
         w = model.weights.copy()
         w[f, out] += eps
-        up = M.Model(mass, w).forward(one, np.array([37]))[2][0]
+        up = M.Model(mass, w).forward(one, np.array([37]))[4][0]
         assert abs((up - log_p[0]) / eps - want) < 0.02
 
 
