@@ -46,10 +46,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import U64, as_i64, doc_slices, shingles, splitmix, stored, text_buffers, word_hashes
+from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, shingles, splitmix, stored,
+                                  text_buffers, word_hashes)
 from ridgeline.llm.components import components
 
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
+FEW = 6  # groups up to this size compare pair by pair
 BLOCK_BYTES = 4 << 20
 SIGNATURE = ("doc_id long, n long, hi long, lo long, keys array<bigint>, sketch binary")
 
@@ -109,9 +111,9 @@ def part_keys(hashes: np.ndarray, band: int, parts: int, bound: int) -> np.ndarr
 
 
 def parity_sketch(hashes: np.ndarray) -> bytes:
-    """Parity bits at ``hash mod 2**b``, b so that a bit has 1/4 shingle or less.
+    """Parity bits at ``hash mod 2**b``, b so that a bit has half a shingle or less.
     Sketches of two lengths compare after folding the longer by XOR."""
-    bits = 1 << max(8, (4 * len(hashes) - 1).bit_length())
+    bits = 1 << max(8, (2 * len(hashes) - 1).bit_length())
     at = (hashes & U64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -171,6 +173,15 @@ def close_pairs(n: np.ndarray, comp: np.ndarray, sketches: list[bytes], num: int
     size = min(map(len, raw))
     packed = np.stack([_fold(s, size) for s in raw])
     m = len(raw)
+    if m <= FEW:
+        near = np.zeros((m, m), bool)
+        value = [int.from_bytes(p.tobytes()) for p in packed]
+        for i in range(m):
+            for j in range(i):
+                allowed = (den - num) * int(n[i] + n[j]) // (den + num)
+                near[i, j] = near[j, i] = (comp[i] != comp[j] and abs(int(n[i] - n[j])) <= allowed
+                                           and (value[i] ^ value[j]).bit_count() <= allowed)
+        return near
     common = np.zeros((m, m), np.float32)
     ones = np.zeros(m, np.float32)
     for lo in range(0, size, 512):
@@ -244,7 +255,7 @@ def candidates(shared: DataFrame, sketches: DataFrame, comps: DataFrame | None,
     else:
         rows = (shared.join(comps, shared["rep"] == comps["node"], "left")
                 .select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")))
-    load = F.sum(F.greatest(F.col("n"), F.lit(64)) / 2)
+    load = F.sum(F.greatest(F.col("n"), F.lit(64)) / 4)
     keys = (rows.groupBy("key")
             .agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
                  F.greatest(F.ceil(load / BLOCK_BYTES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).alias("blocks"))
@@ -253,19 +264,27 @@ def candidates(shared: DataFrame, sketches: DataFrame, comps: DataFrame | None,
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
                        lambda j: F.struct(F.least(mine, j).alias("i"), F.greatest(mine, j).alias("j")))
     rows = (rows.join(keys, "key").select("key", "rep", "n", "comp", F.explode(pair).alias("p"))
-            .join(sketches, "rep").select("key", "p.i", "p.j", "rep", "n", "comp", "sketch"))
+            .join(sketches, ["rep", "n"]).select("key", "p.i", "p.j", "rep", "n", "comp", "sketch"))
     return block_pairs(rows, num, den, every)
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs whose shingle sets link; each document is shingled once."""
+    """The pairs whose shingle sets link. A bitmap of the pairs' ids picks the
+    documents to shingle again, so texts are read where they lie and only sets
+    are shuffled; the joins drop what the bitmap let through."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(ends, "doc_id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(bitmap_has(wanted.value, batch.column("doc_id").to_numpy())))
             ids = batch.column("doc_id").to_pylist()
             at, held, size = [], [], 0
+            seen = set()
             for i, s in _sets(batch, k):
+                if (mark := (ids[i], len(s), int(s.sum()))) in seen:  # a repeated row
+                    continue
+                seen.add(mark)
                 at.append(ids[i])
                 held.append(s.tobytes())
                 size += len(held[-1])
@@ -274,8 +293,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> Dat
                     at, held, size = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(held, pa.binary())], names=["id", "s"])
 
-    table = docs.join(ends, "doc_id", "left_semi").mapInArrow(sets, "id long, s binary").distinct()
-    table = stored(table, "jaccard-sets")
+    table = stored(docs.where("doc_id is not null").mapInArrow(sets, "id long, s binary"), "jaccard-sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,16 +321,17 @@ def near_duplicates(df: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     classes = (sig.where("n > 0").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")))
     classes = stored(classes, "jaccard-classes")
     own = classes.where("rep is not null").withColumnRenamed("rep", "doc_id")
-    lead = stored(sig.where(F.size("keys") > 0).join(own, ["n", "hi", "lo", "doc_id"], "left_semi")
-                  .select(F.col("doc_id").alias("rep"), "n", "keys", "sketch"), "jaccard-leaders")
+    lead = (sig.where(F.size("keys") > 0).select("doc_id", "n", "hi", "lo", "keys")
+            .join(own, ["n", "hi", "lo", "doc_id"], "left_semi"))
     by_key = Window.partitionBy("key").orderBy("rep")
     shared = stored(
-        lead.select("rep", "n", F.explode("keys").alias("key"))
+        lead.select(F.col("doc_id").alias("rep"), "n", F.explode("keys").alias("key"))
         .select("key", "rep", "n", F.lag("rep").over(by_key).alias("before"), F.lead("rep").over(by_key).alias("after"))
         .where((F.col("before") != F.col("rep")) | (F.col("after") != F.col("rep")))
         .select("key", "rep", "n"), "jaccard-shared")
-    sketches = lead.join(shared.select("rep").distinct(), "rep", "left_semi").select("rep", "sketch")
-    sketches = stored(sketches.dropDuplicates(["rep"]), "jaccard-sketches")
+    sketches = (sig.where(F.size("keys") > 0).select(F.col("doc_id").alias("rep"), "n", "sketch")
+                .join(shared.select("rep", "n").distinct(), ["rep", "n"], "left_semi"))
+    sketches = stored(sketches.distinct(), "jaccard-sketches")
     edges, comps = None, None
     for every in (False, True):
         pairs = stored(candidates(shared, sketches, comps, num, den, every), "jaccard-pairs")
