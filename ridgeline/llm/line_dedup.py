@@ -3,19 +3,21 @@
 A text is read as lines; a line is cut further after sentence ends (``.``, ``!``
 or ``?`` before a space), and what is still longer than ``LONG_LINE`` words after
 words whose hash is a multiple of ``CUT_EVERY``, so that a long paragraph has
-inner lines too. Each line has a 64-bit hash of its bytes without surrounding white space. A rolling
-hash over each line and the one before it is computed, and a chunk ends where
-that value is a local minimum among its neighbours: the choice depends on a few
-adjacent lines only, so boundaries move with inserted text and no two of them
-are adjacent (a chunk has two lines or more). The end of a text line that holds
-two or more lines of its own is a boundary as well.
-
-Chunks of two or more lines and ``MIN_WORDS`` or more words that occur more than once in all documents are
-fetched, grouped by their bytes, and every occurrence but the first (smallest
-document id, then position) is removed. With ``copy_share`` a document of whose
-words at least that share would go to one and the same other document is left
-whole: it is a copy of that document, and whole copies are the business of a
-near-duplicate stage, which needs their text.
+inner lines too. Each line has a 64-bit hash of its bytes without surrounding
+white space. A rolling hash over each line and the one before it is computed,
+and a chunk ends where that value is a local minimum among its neighbours: the
+choice depends on a few adjacent lines only, so boundaries move with inserted
+text and no two of them are adjacent (a chunk has two lines or more). The end of
+a text line that holds two or more lines of its own is a boundary as well.
+
+Chunks of two or more lines that occur more than once in all documents are
+fetched and grouped by their bytes; every occurrence but the first (smallest
+document id, then position) is a repeat. Runs of adjacent repeats that hold
+``MIN_WORDS`` or more words are removed; shorter ones are chance.
+
+With ``copy_share`` a document of whose words at least that share would go to one
+and the same other document is left whole: it is a copy of that document, and
+whole copies are the business of a near-duplicate stage, which needs their text.
 
 Defined results: null text stays null, empty text empty. A document without a
 repeated chunk keeps its bytes as they are; others lose exactly the bytes of
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, doc_slices, splitmix, stored,
@@ -38,7 +40,7 @@ from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, doc_slices, spli
 
 NO_ID = -(1 << 63)
 LONG_LINE, CUT_EVERY = 12, 6   # words
-MIN_WORDS = 8                  # of a chunk that may be removed
+MIN_WORDS = 8                  # of a run of adjacent chunks that may be removed
 _RAW = splitmix(np.arange(1, 257, dtype=np.uint64) * U64(0x8CB92BA72F3D8DD7))
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
@@ -139,7 +141,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                 words = np.concatenate([[0], np.cumsum(nw)])
                 cw = words[last + 1] - words[first]
                 begin = s[first] if len(first) else first
-                use = (last > first) & (cw >= MIN_WORDS)
+                use = last > first
                 bounds = np.searchsorted(cdoc[use], np.arange(hi - lo + 1))
                 total = np.bincount(doc, weights=nw, minlength=hi - lo).astype(np.int64)
                 base = o[cdoc[use]]
@@ -167,22 +169,29 @@ def removals(docs: DataFrame, copy_share: float | None) -> DataFrame:
         .select("id", "row", F.explode(F.transform("marks", lambda m: F.struct(
             m.s.alias("s"), m.e.alias("e"), m.w.alias("w"), m.h.alias("h"),
             F.substring(body, m.s.cast("int") + 1, (m.e - m.s).cast("int")).alias("body")))).alias("m"))
-        .select("id", "row", "m.s", "m.e", "m.w", "m.h", F.rtrim(F.col("m.body").cast("string")).alias("body"))
+        .select("id", "row", "m.s", "m.e", "m.w", "m.h", F.rtrim(F.col("m.body").cast("string"), F.lit(" \t\n\v\f\r")).alias("body"))
         .distinct(), "line-bodies")
     place = F.struct("id", "row", "s")
-    first = held.groupBy("h", "body").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = (held.join(first.select("h", "body", "first"), ["h", "body"]).where(place != F.col("first"))
+    first = stored(held.groupBy("h", "body").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select("h", "body", "first"), "line-owners")
+    later = (held.join(first, ["h", "body"]).where(place != F.col("first"))
              .select("id", "row", "s", "e", "w", F.col("first.id").alias("owner"), F.col("first.row").alias("owner_row")))
-    per_owner = later.groupBy("id", "row", "owner", "owner_row").agg(
-        F.sum("w").alias("w"), F.collect_list(F.struct("s", "e")).alias("part"))
-    per_doc = per_owner.groupBy("id", "row").agg(
-        F.max(F.when((F.col("owner") != F.col("id")) | (F.col("owner_row") != F.col("row")), F.col("w"))
-              .otherwise(0)).alias("most"),
-        F.sort_array(F.flatten(F.collect_list("part"))).alias("cut"))
     if copy_share is not None:
-        per_doc = (per_doc.join(table.select("id", "row", "words").distinct(), ["id", "row"])
-                   .where(F.col("most") < F.lit(copy_share) * F.col("words")))
-    return per_doc.select("id", "row", "cut")
+        later = stored(later, "line-repeats")
+    along = Window.partitionBy("id", "row").orderBy("s")
+    apart = F.when(F.lag("e").over(along) == F.col("s"), 0).otherwise(1)
+    runs = (later.withColumn("apart", apart).withColumn("run", F.sum("apart").over(along))
+            .groupBy("id", "row", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("w").alias("w"))
+            .where(F.col("w") >= MIN_WORDS))
+    out = runs.groupBy("id", "row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("cut"))
+    if copy_share is None:
+        return out
+    copies = (later.where((F.col("owner") != F.col("id")) | (F.col("owner_row") != F.col("row")))
+              .groupBy("id", "row", "owner", "owner_row").agg(F.sum("w").alias("w"))
+              .groupBy("id", "row").agg(F.max("w").alias("most"))
+              .join(table.select("id", "row", "words").distinct(), ["id", "row"])
+              .where(F.col("most") >= F.lit(copy_share) * F.col("words")).select("id", "row"))
+    return out.join(copies, ["id", "row"], "left_anti")
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", copy_share: float | None = None,
