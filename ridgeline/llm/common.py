@@ -11,6 +11,7 @@ splitting the code points give the same words.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.session import scratch_path
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 
@@ -72,6 +73,32 @@ def doc_slices(offs: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int
         lo = hi
 
 
+def lean(run):
+    """``run`` for mapInArrow, giving memory back to the system after every input
+    batch: Python workers outlive their tasks, and what allocators keep adds to
+    the executor beside the JVM's heap."""
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def feed():
+            for batch in batches:
+                yield batch
+                del batch
+                _trim()
+
+        yield from run(feed())
+        _trim()
+
+    return trimmed
+
+
+def _trim() -> None:
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+
+
 # ---------------------------------------------------------------- word hashes
 
 def splitmix(x: np.ndarray) -> np.ndarray:
@@ -128,7 +155,7 @@ def _hash_piece(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nd
     return splitmix(h), s, e
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray, limit: int = 4 * SLICE_BYTES):
+def word_hashes(data: np.ndarray, offs: np.ndarray, limit: int = 2 * SLICE_BYTES):
     """64-bit hash, start, end (offsets in ``data``) of every word, and the
     number of words per document. The hash is a polynomial over random byte
     codes, taken from prefix sums, so no Python runs per word. Longer inputs

@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, splitmix, stored, text_buffers,
-                                  word_hashes)
+from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, lean, splitmix, stored,
+                                  text_buffers, word_hashes)
 
 #: Fixed masks, six words each under spans of 6 to 11: any 13 words with one
 #: substitution, and most with two or three, keep a hit under one of them.
@@ -87,7 +87,7 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
                               ("seeds", pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int64())])))])
             yield pa.RecordBatch.from_pylist(out, schema=kind)
 
-    return items.mapInArrow(run, "item_id long, n long, words array<bigint>, seeds array<struct<h:bigint,p:bigint>>")
+    return items.mapInArrow(lean(run), "item_id long, n long, words array<bigint>, seeds array<struct<h:bigint,p:bigint>>")
 
 
 CLUSTER = "doc_id long, start long, words array<bigint>, hits array<struct<h:bigint,p:bigint>>"
@@ -134,7 +134,7 @@ def hit_clusters(docs: DataFrame, bitmap, masks: tuple[str, ...], short: list[in
                                 "hits": [{"h": int(x), "p": int(y - a)} for x, y in zip(h[g], p[g])]})
                 yield pa.RecordBatch.from_pylist(out, schema=kind)
 
-    return docs.mapInArrow(run, CLUSTER)
+    return docs.mapInArrow(lean(run), CLUSTER)
 
 
 def best_segment(equal: np.ndarray) -> tuple[int, int, int]:
@@ -188,7 +188,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                     out.append((d, item, start + a + s, start + a + e, a - shift + s, same, len(t)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(7)], names=names)
 
-    found = pairs.select("doc_id", "start", "item_id", "shift", "words", "item").mapInArrow(check, schema)
+    found = pairs.select("doc_id", "start", "item_id", "shift", "words", "item").mapInArrow(lean(check), schema)
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct(
         "n_equal", (-F.col("start_word")).alias("a"), "end_word", "item_start", "item_words")).alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.a")).alias("start_word"), "b.end_word", "b.item_start",

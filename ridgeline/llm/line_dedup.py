@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, doc_slices, splitmix, stored,
+from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, doc_slices, lean, splitmix, stored,
                                   text_buffers)
 
 NO_ID = -(1 << 63)
@@ -152,7 +152,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                      *[pa.ListArray.from_arrays(off, pa.array(c.astype(np.int64))) for c in cols]],
                     names=["id", "row", "words", "h", "s", "e", "w"])
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(lean(run), SCHEMA)
 
 
 def removals(docs: DataFrame, copy_share: float | None) -> DataFrame:

@@ -46,8 +46,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, shingles, splitmix, stored,
-                                  text_buffers, word_hashes)
+from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, lean, shingles, splitmix,
+                                  stored, text_buffers, word_hashes)
 from ridgeline.llm.components import components
 
 BLOCK_ROWS = 512
@@ -148,7 +148,7 @@ def signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
                     out, size = [[], [], [], [], [], []], 0
             yield _signature_batch(out)
 
-    return docs.mapInArrow(run, SIGNATURE)
+    return docs.mapInArrow(lean(run), SIGNATURE)
 
 
 def _signature_batch(out: list[list]) -> pa.RecordBatch:
@@ -244,7 +244,7 @@ def block_pairs(rows: DataFrame, num: int, den: int, every: bool) -> DataFrame:
             yield out
 
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def candidates(shared: DataFrame, sketches: DataFrame, comps: DataFrame | None,
@@ -293,7 +293,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> Dat
                     at, held, size = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(held, pa.binary())], names=["id", "s"])
 
-    table = stored(docs.where("doc_id is not null").mapInArrow(sets, "id long, s binary"), "jaccard-sets")
+    table = stored(docs.where("doc_id is not null").mapInArrow(lean(sets), "id long, s binary"), "jaccard-sets")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,7 +307,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> Dat
 
     return (pairs.join(table.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(table.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-            .select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long").distinct())
+            .select("a", "b", "sa", "sb").mapInArrow(lean(check), "a long, b long").distinct())
 
 
 # ------------------------------------------------------------------ operator

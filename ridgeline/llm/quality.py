@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import doc_slices, splitmix, stored, text_buffers, word_hashes
+from ridgeline.llm.common import doc_slices, lean, splitmix, stored, text_buffers, word_hashes
 
 THRESHOLD = 0.3
 SHRINK_POOLED, SHRINK_DIAGONAL = 0.10, 0.05
@@ -149,7 +149,7 @@ def feature_table(df: DataFrame, keep: list[str], text: str = "text") -> DataFra
                 yield pa.RecordBatch.from_arrays([*[c.slice(lo, hi - lo) for c in rest], flat],
                                                  names=[f.name for f in kept] + ["x"])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 @dataclass(frozen=True)
@@ -187,7 +187,7 @@ def moments(rows: DataFrame) -> dict[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(at // width), pa.array(at % width), pa.array(total.reshape(-1))],
                                          names=["label", "i", "v"])
 
-    parts = rows.mapInArrow(run, "label long, i long, v double")
+    parts = rows.mapInArrow(lean(run), "label long, i long, v double")
     out = {0: np.zeros(width), 1: np.zeros(width)}
     for r in parts.groupBy("label", "i").agg(F.sum("v").alias("v")).collect():  # 2 * (1 + D + D * D) rows
         out[r["label"]][r["i"]] = r["v"]
@@ -222,7 +222,7 @@ def score_table(features: DataFrame, model: Discriminant) -> DataFrame:
             rest = [batch.column(f.name) for f in kept]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(model.score(x))], names=[f.name for f in kept] + ["score"])
 
-    return features.mapInArrow(run, schema)
+    return features.mapInArrow(lean(run), schema)
 
 
 def labelled(features: DataFrame, labels: DataFrame, train, doc_id: str, label: str) -> DataFrame:

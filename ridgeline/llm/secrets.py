@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.llm.common import lean
+
 # The base patterns, case folded by hand because the regex flag
 # would also fold letters outside ASCII.
 _NAMES = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
@@ -120,4 +122,4 @@ def find_secrets(df: DataFrame, text: str = "text", keep: list[str] | None = Non
             yield pa.RecordBatch.from_arrays([*rest, pa.array(found, pa.list_(span))],
                                              names=[f.name for f in fields] + ["found"])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)

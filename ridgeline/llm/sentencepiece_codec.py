@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.llm.common import doc_slices, lean, text_buffers
+
 SPACE = "▁".encode()  # U+2581 stands for a space in pieces
 
 
@@ -207,17 +209,6 @@ def codec(path: str) -> Codec:
     return _LOADED[path]
 
 
-def _slices(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    lo = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def encode_map(df: DataFrame, model: str, finish: Callable, fields: str, text: str = "text",
                keep: list[str] | None = None) -> DataFrame:
     """Encode every text and hand ``(codec, texts, ids, bounds)`` of a slice of
@@ -232,16 +223,16 @@ def encode_map(df: DataFrame, model: str, finish: Callable, fields: str, text: s
         for batch in batches:
             at = batch.schema.get_field_index("_text")
             rest = [x for i, x in enumerate(batch.columns) if i != at]
-            texts = batch.column(at).to_pylist()
-            for lo, hi in _slices(texts):
+            for lo, hi in doc_slices(text_buffers(batch.column(at))[1]):
+                texts = batch.column(at).slice(lo, hi - lo).to_pylist()
                 ids, bounds = [], []
-                for x, b in c.encode(texts[lo:hi]):
+                for x, b in c.encode(texts):
                     ids.append(x)
                     bounds.append(b)
-                cols = finish(c, texts[lo:hi], ids, bounds)
+                cols = finish(c, texts, ids, bounds)
                 yield pa.RecordBatch.from_arrays([*[x.slice(lo, hi - lo) for x in rest], *cols], names=names)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def encode(df: DataFrame, model: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -270,4 +261,4 @@ def decode(df: DataFrame, model: str, ids: str = "ids", keep: list[str] | None =
             yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.string())],
                                              names=[f.name for f in kept] + ["decoded"])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridgeline.llm.common import lean
+
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 256
 LIMIT = (1 << 63) - 1
@@ -176,7 +178,7 @@ def top_k(df: DataFrame, is_query, k: int = 10, scale: int = 1024, vec_id: str =
         if (out := flush()) is not None:
             yield out
 
-    found = both.mapInArrow(search, "query_id long, vec_id long, score long").distinct()
+    found = both.mapInArrow(lean(search), "query_id long, vec_id long, score long").distinct()
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

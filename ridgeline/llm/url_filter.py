@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import text_buffers
+from ridgeline.llm.common import lean, text_buffers
 
 END_OF_HOST, END_OF_URL, SYMBOLS = 256, 257, 258
 BATCH = 4096
@@ -169,4 +169,4 @@ def filter_urls(df: DataFrame, rules: list[Rule], url: str = "url", keep: list[s
                     [*batch.columns, pa.array(names[best], pa.string()), pa.array(verdicts[best], pa.string())],
                     names=[*batch.schema.names, "rule", "verdict"])
 
-    return src.mapInArrow(judge, schema)
+    return src.mapInArrow(lean(judge), schema)
