@@ -1,4 +1,4 @@
-"""The flagship query: split -> prepare -> train (linear + boosted trees)
+"""The flagship query: split -> prepare -> train (linear + random forest)
 -> held-out metrics on the modelling table."""
 
 from __future__ import annotations
@@ -10,5 +10,5 @@ from ridgeline.plans.q_models import model_predictions
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    preds = model_predictions(spark, sf_dir, kinds=["linear_regression", "xgboost"])
+    preds = model_predictions(spark, sf_dir, kinds=["linear_regression", "random_forest"])
     return E.regression_metrics(preds)
