@@ -7,7 +7,8 @@ columns they got (``doc_id, text, lang, source, n_chars`` for ``documents``).
 1. quality: a document whose quality score is below the classifier's threshold
    goes. The model learns from the labels of the documents at hand.
 2. line_dedup: passages that repeat across documents are cut from all but the
-   first; whole copies are left to stage 3, which needs their text. A document
+   first; documents that stage 3 will drop as near copies keep what they share
+   with their original, which that stage needs. A document
    that had words and has none left goes; ``n_chars`` follows the text.
 3. near_duplicates: one document of each class of 5-word shingle similarity 0.8
    or more stays, the one with the smallest id.
@@ -34,8 +35,11 @@ from ridgeline.llm.quality import THRESHOLD, fit_documents, text_score
 from ridgeline.llm.queries import default_model, piece_digests
 from ridgeline.session import scratch_path
 
-#: A document of whose words this share repeats one other document is a copy of it.
+#: A document of whose words this share repeats one other document may be a copy of
+#: it; it is one if the two pass the test of the near-duplicate stage, NEAR.
 COPY_SHARE = 0.6
+#: Shingle words and least Jaccard coefficient (num, den) of near duplicates.
+NEAR = (5, 80, 100)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = dedup_lines(docs, copy_share=COPY_SHARE, report="_removed")
+    cut = dedup_lines(docs, copy_share=COPY_SHARE, report="_removed", copy_test=NEAR)
     changed = F.size("_removed") > 0
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -53,7 +57,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_duplicates(docs, k=5, num=80, den=100)
+    return drop_near_duplicates(docs, *NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

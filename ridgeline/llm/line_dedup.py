@@ -16,8 +16,12 @@ document id, then position) is a repeat. Runs of adjacent repeats that hold
 ``MIN_WORDS`` or more words are removed; shorter ones are chance.
 
 With ``copy_share`` a document of whose words at least that share would go to one
-and the same other document is left whole: it is a copy of that document, and
-whole copies are the business of a near-duplicate stage, which needs their text.
+and the same other document keeps these words if it is a near copy of it: their
+k-word shingle sets, taken as this stage leaves both texts, have a Jaccard
+coefficient of ``copy_test`` or more. Whole copies are the business of a
+near-duplicate stage with that test, which needs their text. Documents that share
+less (excerpts, short documents around a passage, copies with a long tail) are
+cut like all others, and so are rows without an id, which that stage keeps.
 
 Defined results: null text stays null, empty text empty. A document without a
 repeated chunk keeps its bytes as they are; others lose exactly the bytes of
@@ -32,15 +36,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, doc_slices, lean, splitmix, stored,
-                                  text_buffers)
+from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, doc_slices, lean, shingles, splitmix, stored,
+                                  text_buffers, word_hashes)
 
 NO_ID = -(1 << 63)
 LONG_LINE, CUT_EVERY = 12, 6   # words
 MIN_WORDS = 8                  # of a run of adjacent chunks that may be removed
+COPY_TEST = (5, 80, 100)       # shingle words and least Jaccard (num, den) of a copy
 _RAW = splitmix(np.arange(1, 257, dtype=np.uint64) * U64(0x8CB92BA72F3D8DD7))
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
@@ -155,7 +160,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(lean(run), SCHEMA)
 
 
-def removals(docs: DataFrame, copy_share: float | None) -> DataFrame:
+def removals(docs: DataFrame, copy_share: float | None, copy_test: tuple[int, int, int] = COPY_TEST) -> DataFrame:
     """(id, row, cut): sorted byte spans that go, one row per changed document."""
     table = stored(chunk_table(docs), "line-chunks")
     chunks = (table.select("id", "row", F.explode(F.arrays_zip("h", "s", "e", "w")).alias("c"))
@@ -178,24 +183,86 @@ def removals(docs: DataFrame, copy_share: float | None) -> DataFrame:
              .select("id", "row", "s", "e", "w", F.col("first.id").alias("owner"), F.col("first.row").alias("owner_row")))
     if copy_share is not None:
         later = stored(later, "line-repeats")
+    out = cut_spans(later)
+    if copy_share is None:
+        return out
+    out = stored(out, "line-cuts")
+    other = (F.col("owner") != F.col("id")) | (F.col("owner_row") != F.col("row"))
+    near = (later.where(other & (F.col("id") != NO_ID) & (F.col("owner") != NO_ID))
+            .groupBy("id", "row", "owner", "owner_row").agg(F.sum("w").alias("w"))
+            .groupBy("id", "row").agg(F.max(F.struct("w", "owner", "owner_row")).alias("most"))
+            .join(table.select("id", "row", "words").distinct(), ["id", "row"])
+            .where(F.col("most.w") >= F.lit(copy_share) * F.col("words"))
+            .select("id", "row", "most.owner", "most.owner_row"))
+    near = stored(near, "line-near")
+    foreign = (later.join(near.select("id", "row"), ["id", "row"], "left_semi")
+               .join(near, ["id", "row", "owner", "owner_row"], "left_anti"))
+    rest = stored(cut_spans(foreign), "line-foreign")
+    exempt = stored(copies(docs, near, out, rest, *copy_test), "line-copies")
+    return (out.join(exempt, ["id", "row"], "left_anti")
+            .unionByName(rest.join(exempt, ["id", "row"], "left_semi")))
+
+
+def cut_spans(later: DataFrame) -> DataFrame:
+    """(id, row, cut): the runs of adjacent repeats of ``MIN_WORDS`` words or more."""
     along = Window.partitionBy("id", "row").orderBy("s")
     apart = F.when(F.lag("e").over(along) == F.col("s"), 0).otherwise(1)
     runs = (later.withColumn("apart", apart).withColumn("run", F.sum("apart").over(along))
             .groupBy("id", "row", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("w").alias("w"))
             .where(F.col("w") >= MIN_WORDS))
-    out = runs.groupBy("id", "row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("cut"))
-    if copy_share is None:
-        return out
-    copies = (later.where((F.col("owner") != F.col("id")) | (F.col("owner_row") != F.col("row")))
-              .groupBy("id", "row", "owner", "owner_row").agg(F.sum("w").alias("w"))
-              .groupBy("id", "row").agg(F.max("w").alias("most"))
-              .join(table.select("id", "row", "words").distinct(), ["id", "row"])
-              .where(F.col("most") >= F.lit(copy_share) * F.col("words")).select("id", "row"))
-    return out.join(copies, ["id", "row"], "left_anti")
+    return runs.groupBy("id", "row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("cut"))
+
+
+def cut_text(text: Column, cut: Column) -> Column:
+    """``text`` without the byte spans ``cut``."""
+    raw = text.cast("binary")
+    spans = F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), cut["e"]).alias("a"),
+                         F.concat(cut["s"], F.array(F.octet_length(raw).cast("long"))).alias("b"))
+    return F.array_join(F.transform(spans, lambda x: F.substring(
+        raw, x.a.cast("int") + 1, (x.b - x.a).cast("int")).cast("string")), "")
+
+
+def copies(docs: DataFrame, near: DataFrame, out: DataFrame, rest: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(id, row) of ``near`` whose text without the spans ``rest`` and whose
+    owner's without the spans ``out`` have k-word shingle sets of Jaccard
+    num / den or more. An owner that may be a copy itself vouches for nobody."""
+    pairs = near.join(near.select(F.col("id").alias("owner"), F.col("row").alias("owner_row")),
+                      ["owner", "owner_row"], "left_anti")
+
+    def texts(ids: DataFrame, cuts: DataFrame) -> DataFrame:
+        mine = docs.join(ids.distinct(), ["id", "row"], "left_semi").dropDuplicates(["id", "row"])
+        left = F.when(F.col("cut").isNull(), F.col("text")).otherwise(cut_text(F.col("text"), F.col("cut")))
+        return mine.join(cuts, ["id", "row"], "left").select("id", "row", left.alias("text"))
+
+    owners = texts(pairs.select(F.col("owner").alias("id"), F.col("owner_row").alias("row")), out)
+    owners = owners.select(F.col("id").alias("owner"), F.col("row").alias("owner_row"), F.col("text").alias("owner_text"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, np.zeros(0, np.uint64)  # an owner's copies often follow each other
+        for batch in batches:
+            ok = []
+            for i in range(len(batch)):
+                key = (batch.column("owner")[i].as_py(), batch.column("owner_row")[i].as_py())
+                if key != at:
+                    at, own = key, shingle_set(batch.column("owner_text").slice(i, 1), k)
+                mine = shingle_set(batch.column("text").slice(i, 1), k)
+                both = len(np.intersect1d(mine, own, assume_unique=True))
+                ok.append(both > 0 and den * both >= num * (len(mine) + len(own) - both))
+            yield batch.select(["id", "row"]).filter(pa.array(ok, pa.bool_()))
+
+    mine = texts(pairs.select("id", "row"), rest).join(pairs, ["id", "row"])
+    both = mine.join(owners, ["owner", "owner_row"]).select("id", "row", "owner", "owner_row", "text", "owner_text")
+    return both.mapInArrow(lean(check), "id long, row long")
+
+
+def shingle_set(text: pa.Array, k: int) -> np.ndarray:
+    """The distinct k-word shingles of one text, as the near-duplicate join takes them."""
+    words, _, _, _ = word_hashes(*text_buffers(text))
+    return np.unique(shingles(words, k))
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", copy_share: float | None = None,
-                report: str | None = None) -> DataFrame:
+                report: str | None = None, copy_test: tuple[int, int, int] = COPY_TEST) -> DataFrame:
     """``df`` with repeated chunks cut out of ``text``. ``report`` names a column
     to add: the byte spans that were removed (an empty array where none)."""
     columns = df.columns
@@ -206,13 +273,9 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", copy_
     ident = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID))
     row = F.xxhash64(ident, t)
     docs = df.select(ident.alias("id"), row.alias("row"), t.alias("text")).where("text is not null")
-    gone = stored(removals(docs, copy_share), "line-removals")
+    gone = stored(removals(docs, copy_share, copy_test), "line-removals")
     gone = gone.select(F.col("id").alias(id_), F.col("row").alias(row_), F.col("cut").alias(cut_))
-    raw = t.cast("binary")
-    spans = F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), F.col(f"{cut_}.e")).alias("a"),
-                         F.concat(F.col(f"{cut_}.s"), F.array(F.octet_length(raw).cast("long"))).alias("b"))
-    left = F.array_join(F.transform(spans, lambda x: F.substring(
-        raw, x.a.cast("int") + 1, (x.b - x.a).cast("int")).cast("string")), "")
+    left = cut_text(t, F.col(cut_))
     joined = df.withColumns({id_: ident, row_: row}).join(gone, [id_, row_], "left")
     out = [F.when(F.col(cut_).isNull(), F.col(f"`{c}`")).otherwise(left).alias(c) if c == text else F.col(f"`{c}`")
            for c in columns]
