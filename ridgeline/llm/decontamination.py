@@ -6,8 +6,13 @@ does not break the hit (PatternHunter, Ma et al. 2002, on words). All test items
 and all training documents are hashed at every position under every mask, and
 the two tables are joined on the hash. Each hit names a document, an item and a
 diagonal; the overlap is then verified word by word along the diagonal, mismatches
-allowed: the segment with the highest score (+1 per equal word, -2 per other)
-must be long enough and at least ``identity`` of its words must agree.
+allowed: the segment with the most equal words among those of which a share of
+``identity`` or more agrees must hold ``least`` equal words or, in a shorter item,
+``identity`` of the item's words.
+
+The masks lose none of these: every placing of the mismatches that a segment may
+have leaves a hit under one of them (tested for segments of up to 24 words).
+Items shorter than ``SPAN`` words have masks for their own length.
 
 Before the join, positions that hit no item hash are dropped by a bitmap of the
 item hashes (one bit per hash modulo its size). The bitmap is built by a Spark
@@ -16,15 +21,17 @@ positions through to the join, never fewer. Documents send their hits in
 clusters that carry the surrounding words, so texts are not read again.
 
 Defined results: null and empty texts, on either side, overlap with nothing.
-Items shorter than a mask are hashed as a whole, without gaps; items need
-``least`` equal words or, if shorter, all of theirs. Repeated items each report;
+Items of up to three words need all of theirs. Repeated items each report;
 repeated document rows report once. Null ids do not take part. Extra columns
 are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +41,48 @@ from pyspark.sql import functions as F
 from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, lean, splitmix, stored,
                                   text_buffers, word_hashes)
 
-#: Fixed masks, six words each under spans of 6 to 11: any 13 words with one
-#: substitution, and most with two or three, keep a hit under one of them.
-MASKS = ("111111", "1101011001", "11001010011")
 LEAST, IDENTITY = 12, 0.75
+SPAN, WEIGHT = 16, 6  # words: of a segment with LEAST equal words, and under a mask's 1s
+#: ``lossless_masks(16, 4, 6)``: of 16 words, 4 may differ at any place. The last
+#: one adds the few placings of 5 in 20 and 6 in 24 that these miss.
+MASKS = ("11010111", "11100010011", "110010001011", "1101001011", "11010000000111", "111100011",
+         "1110111")
+
+
+def needed(n: int, least: int, identity: float) -> int:
+    """Equal words that an overlap with an item of ``n`` words must hold."""
+    return min(least, math.ceil(identity * n - 1e-9))
+
+
+@lru_cache(maxsize=None)
+def lossless_masks(n: int, k: int, weight: int) -> tuple[str, ...]:
+    """Masks such that, wherever ``k`` of ``n`` words differ, one of them lies at
+    some place on equal words only. Greedy: the mask that serves most of the
+    placings left comes next."""
+    weight = min(weight, n - k)
+    placings = np.array([sum(1 << p for p in c) for c in combinations(range(n), k)], np.int64)
+    masks = [1 | (1 << span - 1) | sum(1 << p for p in inner)
+             for span in range(weight, n + 1) for inner in combinations(range(1, span - 1), max(weight - 2, 0))
+             if weight > 1 or span == 1]
+    serves = np.zeros((len(masks), len(placings)), bool)
+    for i, m in enumerate(masks):
+        for shift in range(n - m.bit_length() + 1):
+            serves[i] |= placings & (m << shift) == 0
+    out, left = [], np.ones(len(placings), bool)
+    while left.any():
+        best = int(np.argmax(serves[:, left].sum(axis=1)))
+        out.append(f"{masks[best]:b}")
+        left &= ~serves[best]
+    return tuple(out)
+
+
+def masks_of(n: int, masks: tuple[str, ...], least: int, identity: float) -> tuple[str, ...]:
+    """The masks of an item of ``n`` words. The fewer words, the fewer under a
+    mask, but one less than the equal words needed at least."""
+    if n >= SPAN:
+        return masks
+    m = needed(n, least, identity)
+    return lossless_masks(n, n - m, m if n - m == 0 or m <= 3 else min(WEIGHT, m - 1))
 
 
 def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
@@ -53,10 +98,6 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return splitmix(out)
 
 
-def short_hash(words: np.ndarray) -> np.uint64:
-    return seed_hashes(words, "1" * len(words))[0]
-
-
 def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     data, offs = text_buffers(batch.column("text"))
     for lo, hi in doc_slices(offs):
@@ -66,10 +107,8 @@ def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
             yield lo + i, words[ends[i] - per_doc[i]:ends[i]]
 
 
-def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+def item_seeds(items: DataFrame, masks: tuple[str, ...], least: int, identity: float) -> DataFrame:
     """(item_id, n, words, seeds): word hashes and (hash, position) of each item."""
-    span = max(map(len, masks))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("item_id").to_pylist()
@@ -77,10 +116,8 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
             for i, w in _documents(batch):
                 if not len(w):
                     continue
-                if len(w) < span:
-                    seeds = [(int(as_i64(np.array([short_hash(w)]))[0]), 0)]
-                else:
-                    seeds = [(int(h), p) for m in masks for p, h in enumerate(as_i64(seed_hashes(w, m)))]
+                seeds = [(int(h), p) for m in masks_of(len(w), masks, least, identity)
+                         for p, h in enumerate(as_i64(seed_hashes(w, m)))]
                 out.append({"item_id": ids[i], "n": len(w), "words": as_i64(w).tolist(),
                             "seeds": [{"h": h, "p": p} for h, p in seeds]})
             kind = pa.schema([("item_id", pa.int64()), ("n", pa.int64()), ("words", pa.list_(pa.int64())),
@@ -93,11 +130,10 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
 CLUSTER = "doc_id long, start long, words array<bigint>, hits array<struct<h:bigint,p:bigint>>"
 
 
-def hit_clusters(docs: DataFrame, bitmap, masks: tuple[str, ...], short: list[int], reach: int) -> DataFrame:
+def hit_clusters(docs: DataFrame, bitmap, shapes: list[str], reach: int) -> DataFrame:
     """Runs of nearby seed hits of each document, with ``reach`` words on both sides."""
     kind = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("words", pa.list_(pa.int64())),
                       ("hits", pa.list_(pa.struct([("h", pa.int64()), ("p", pa.int64())])))])
-    shapes = (*masks, *("1" * n for n in short))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
@@ -137,14 +173,19 @@ def hit_clusters(docs: DataFrame, bitmap, masks: tuple[str, ...], short: list[in
     return docs.mapInArrow(lean(run), CLUSTER)
 
 
-def best_segment(equal: np.ndarray) -> tuple[int, int, int]:
-    """Start, end and number of equal words of the highest-scoring run."""
-    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
+def best_segment(equal: np.ndarray, identity: float = IDENTITY) -> tuple[int, int, int]:
+    """Start, end and number of equal words of the run that holds the most equal
+    words among those of which a share of ``identity`` or more is equal."""
+    share = round(identity * 1000)
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1000 - share, -share))])
+    held = np.concatenate([[0], np.cumsum(equal)])
     low = np.minimum.accumulate(score)
-    gain = score - low
-    e = int(np.argmax(gain))
-    s = int(np.flatnonzero(score[:e + 1] == low[e])[-1])
-    return s, e, int(equal[s:e].sum())
+    first = np.searchsorted(-low, -score)  # the earliest start of a run that ends here
+    e = int(np.argmax(held - held[first]))
+    s = int(first[e])
+    while s < e and not equal[s]:
+        s += 1
+    return s, e, int(held[e] - held[s])
 
 
 def overlaps(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -157,16 +198,16 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                             F.col(f"`{text}`").cast("string").alias("text")).where("doc_id is not null and text is not null")
     items = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("item_id"),
                              F.col(f"`{item_text}`").cast("string").alias("text")).where("item_id is not null and text is not null")
-    table = stored(item_seeds(items, masks), "seed-items")
-    span = max(map(len, masks))
-    facts = table.agg(F.max("n").alias("reach"), F.collect_set(F.when(F.col("n") < span, F.col("n"))).alias("short")).first()
+    table = stored(item_seeds(items, masks, least, identity), "seed-items")
+    facts = table.agg(F.max("n").alias("reach"), F.collect_set(F.least("n", F.lit(SPAN))).alias("sizes")).first()
     schema = "doc_id long, item_id long, start_word long, end_word long, item_start long, n_equal long, item_words long"
     if facts["reach"] is None:
         return spark.createDataFrame([], schema)
     seeds = table.select("item_id", F.explode("seeds").alias("s")).select("item_id", "s.h", F.col("s.p").alias("q"))
     seeds = stored(seeds.distinct(), "seeds")
     bitmap = spark.sparkContext.broadcast(bitmap_of(seeds.select("h").distinct(), "h"))
-    clusters = stored(hit_clusters(docs, bitmap, masks, sorted(facts["short"]), int(facts["reach"])).distinct(), "seed-clusters")
+    shapes = sorted({m for n in facts["sizes"] for m in masks_of(n, masks, least, identity)})
+    clusters = stored(hit_clusters(docs, bitmap, shapes, int(facts["reach"])).distinct(), "seed-clusters")
     hits = clusters.select("doc_id", "start", F.explode("hits").alias("s")).select("doc_id", "start", "s.h", "s.p")
     lines = (hits.join(seeds, "h").select("doc_id", "start", "item_id", (F.col("p") - F.col("q")).alias("shift"))
              .distinct())
@@ -183,8 +224,8 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                 a, b = max(0, shift), min(len(w), shift + len(t))
                 if a >= b:
                     continue
-                s, e, same = best_segment(w[a:b] == t[a - shift:b - shift])
-                if same >= min(least, len(t)) and same >= identity * (e - s):
+                s, e, same = best_segment(w[a:b] == t[a - shift:b - shift], identity)
+                if same >= max(1, needed(len(t), least, identity)):
                     out.append((d, item, start + a + s, start + a + e, a - shift + s, same, len(t)))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(7)], names=names)
 

@@ -278,6 +278,40 @@ def test_planted_passages_and_substitutions(spark):
     assert D.overlaps(df.where("false"), bench).count() == 0
 
 
+def test_substitutions_at_every_place_of_short_items(spark):
+    from itertools import combinations
+
+    rng = random.Random(16)
+    items, rows, want = [], [], {}
+    for n in range(4, 21):
+        t = [f"i{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(t)))
+        swaps = min(3, n - D.needed(n, D.LEAST, D.IDENTITY))
+        for places in combinations(range(n), swaps):
+            w = [rng.choice(WORDS) for _ in range(12)]
+            w[6:6] = ["swapped" if j in places else x for j, x in enumerate(t)]
+            want[len(rows)] = n
+            rows.append((len(rows), " ".join(w)))
+        over = [f"i{n}x{j}" if j < D.needed(n, D.LEAST, D.IDENTITY) - 1 else "other" for j in range(n)]
+        rows.append((len(rows), " ".join(over)))  # one equal word too few
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.item_id for r in D.overlaps(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
+
+
+def test_masks_lose_no_placing_of_mismatches():
+    from itertools import combinations
+
+    for n in range(D.SPAN, 25):
+        k = n // 4
+        differ = np.array([sum(1 << p for p in c) for c in combinations(range(1, n - 1), k)])
+        hit = np.zeros(len(differ), bool)
+        for m in (int(x, 2) for x in D.MASKS):
+            for shift in range(n - m.bit_length() + 1):
+                hit |= differ & (m << shift) == 0
+        assert hit.all()
+
+
 def test_spaced_seeds_ignore_masked_places():
     w = np.arange(1, 30, dtype=np.uint64) * np.uint64(7919)
     for m in D.MASKS:
