@@ -10,10 +10,17 @@ choice depends on a few adjacent lines only, so boundaries move with inserted
 text and no two of them are adjacent (a chunk has two lines or more). The end of
 a text line that holds two or more lines of its own is a boundary as well.
 
-Chunks of two or more lines that occur more than once in all documents are
-fetched and grouped by their bytes; every occurrence but the first (smallest
-document id, then position) is a repeat. Runs of adjacent repeats that hold
-``MIN_WORDS`` or more words are removed; shorter ones are chance.
+A chunk at the end of a passage inside a line takes in its surroundings, and a
+short passage may hold no full chunk. So windows of ``ANCHOR`` words are taken as
+well, by winnowing (Schleimer et al. 2003): the one with the least hash of every
+``WINDOW`` in a row. Any ``ANCHOR + WINDOW - 1`` = 49 equal words hold an anchor.
+
+Chunks of two or more lines and anchors that occur more than once in all documents
+are fetched and grouped by their bytes; every occurrence but the first (smallest
+document id, then position) is a repeat. Each repeat is extended in both
+directions by whole words as far as its document and the first occurrence's agree.
+Extended repeats and runs of adjacent chunks that hold ``MIN_WORDS`` or more words
+are removed; shorter ones are chance.
 
 With ``copy_share`` a document of whose words at least that share would go to one
 and the same other document keeps these words if it is a near copy of it: their
@@ -24,8 +31,9 @@ less (excerpts, short documents around a passage, copies with a long tail) are
 cut like all others, and so are rows without an id, which that stage keeps.
 
 Defined results: null text stays null, empty text empty. A document without a
-repeated chunk keeps its bytes as they are; others lose exactly the bytes of
-the removed chunks and the white space behind them. Rows that repeat a
+repeated passage keeps its bytes as they are; others lose exactly the bytes of
+the removed chunks and the white space behind them, and of the words by which a
+repeat was extended, without the white space outside. Rows that repeat a
 (id, text) share one fate: each is the first occurrence if one is. Null ids sort
 first. Extra columns pass through; helper names are chosen so as not to clash.
 """
@@ -39,12 +47,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, doc_slices, lean, shingles, splitmix, stored,
-                                  text_buffers, word_hashes)
+from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, bitmap_has, bitmap_of, doc_slices, lean, shingles,
+                                  splitmix, stored, text_buffers, word_hashes)
 
 NO_ID = -(1 << 63)
+WHITE = b" \t\n\v\f\r"
 LONG_LINE, CUT_EVERY = 12, 6   # words
 MIN_WORDS = 8                  # of a run of adjacent chunks that may be removed
+ANCHOR, WINDOW = 12, 38        # words of an anchor; anchors of which the least is taken
+REACH = (64, 1024, None)       # bytes compared on both sides of a repeat, in turn; None: whole texts
 COPY_TEST = (5, 80, 100)       # shingle words and least Jaccard (num, den) of a copy
 _RAW = splitmix(np.arange(1, 257, dtype=np.uint64) * U64(0x8CB92BA72F3D8DD7))
 _END = np.zeros(256, bool)
@@ -54,11 +65,16 @@ _END[[ord(c) for c in ".!?"]] = True
 def cut_lines(data: np.ndarray, offs: np.ndarray):
     """Lines of the documents of one slice: hash, start, end (without white
     space), document, number of words, and whether a newline follows."""
+    return cut_words(data, offs)[:6]
+
+
+def cut_words(data: np.ndarray, offs: np.ndarray):
+    """``cut_lines`` and the anchors: hash, start, end, document."""
     n = len(data)
     word = ~_SPACE[data]
     if not word.any():
         z = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), z, z, z, z, np.zeros(0, bool)
+        return np.zeros(0, np.uint64), z, z, z, z, np.zeros(0, bool), (np.zeros(0, np.uint64), z, z, z)
     begins = np.zeros(n + 1, bool)
     begins[offs[:-1]] = True
     first = word.copy()
@@ -87,7 +103,35 @@ def cut_lines(data: np.ndarray, offs: np.ndarray):
     h = span_hash(s, e)
     hard = np.ones(len(ends), bool)
     hard[:-1] = broken[ends[:-1]]
-    return h, s, e, doc[heads], ends - heads + 1, hard
+    at = np.arange(max(0, len(ws) - ANCHOR + 1))
+    g = span_hash(ws[at], we[at + ANCHOR - 1]) ^ U64(0xD6E8FEB86659FD93)  # no chunk's hash
+    pick = winnow(g, doc)
+    return (h, s, e, doc[heads], ends - heads + 1, hard,
+            (g[pick], ws[pick], we[pick + ANCHOR - 1], doc[pick]))
+
+
+def winnow(g: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Places of the least hash of every ``WINDOW`` in a row inside one document;
+    of equal hashes that follow each other, as in periodic text, every WINDOW-th."""
+    n = len(g) - WINDOW + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    low, size = np.arange(len(g)), 1
+
+    def least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(g[a] <= g[b], a, b)
+
+    while 2 * size <= WINDOW:
+        low = least(low[:-size], low[size:])
+        size *= 2
+    low = least(low[:n], low[WINDOW - size:WINDOW - size + n])
+    whole = doc[:n] == doc[WINDOW + ANCHOR - 2:WINDOW + ANCHOR - 2 + n]
+    pick = np.unique(low[whole])
+    new = np.ones(len(pick), bool)
+    new[1:] = (g[pick[1:]] != g[pick[:-1]]) | (doc[pick[1:]] != doc[pick[:-1]])
+    heads = np.flatnonzero(new)
+    rank = np.arange(len(pick)) - np.repeat(heads, np.diff(heads, append=len(pick)))
+    return pick[rank % WINDOW == 0]
 
 
 def cut_chunks(h: np.ndarray, doc: np.ndarray, hard: np.ndarray) -> np.ndarray:
@@ -123,14 +167,15 @@ SCHEMA = "id long, row long, words long, h array<bigint>, s array<bigint>, e arr
 
 def chunk_table(docs: DataFrame) -> DataFrame:
     """One row per document with the hash, byte span and words of its chunks
-    of two or more lines. A span ends where the next line begins."""
+    of two or more lines, and of its anchors (as 0 words). A chunk's span ends
+    where the next line begins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = text_buffers(batch.column("text"))
             ids, rows = batch.column("id"), batch.column("row")
             for lo, hi in doc_slices(offs):
                 piece, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
-                h, s, _, doc, nw, hard = cut_lines(piece, o)
+                h, s, _, doc, nw, hard, (ah, as_, ae, adoc) = cut_words(piece, o)
                 last = cut_chunks(h, doc, hard)
                 first = np.concatenate([[0], last[:-1] + 1])[:len(last)]
                 cdoc = doc[last]
@@ -147,14 +192,17 @@ def chunk_table(docs: DataFrame) -> DataFrame:
                 cw = words[last + 1] - words[first]
                 begin = s[first] if len(first) else first
                 use = last > first
-                bounds = np.searchsorted(cdoc[use], np.arange(hi - lo + 1))
+                every = np.concatenate([cdoc[use], adoc])
+                order = np.argsort(every, kind="stable")
+                bounds = np.searchsorted(every[order], np.arange(hi - lo + 1))
                 total = np.bincount(doc, weights=nw, minlength=hi - lo).astype(np.int64)
-                base = o[cdoc[use]]
-                cols = (as_i64(ch[use]), begin[use] - base, stop[use] - base, cw[use])
+                base = o[every]
+                cols = (as_i64(np.concatenate([ch[use], ah])), np.concatenate([begin[use], as_]) - base,
+                        np.concatenate([stop[use], ae]) - base, np.concatenate([cw[use], np.zeros(len(ah), np.int64)]))
                 off = pa.array(bounds.astype(np.int32), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), rows.slice(lo, hi - lo), pa.array(total, pa.int64()),
-                     *[pa.ListArray.from_arrays(off, pa.array(c.astype(np.int64))) for c in cols]],
+                     *[pa.ListArray.from_arrays(off, pa.array(c[order].astype(np.int64))) for c in cols]],
                     names=["id", "row", "words", "h", "s", "e", "w"])
 
     return docs.mapInArrow(lean(run), SCHEMA)
@@ -163,9 +211,9 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 def removals(docs: DataFrame, copy_share: float | None, copy_test: tuple[int, int, int] = COPY_TEST) -> DataFrame:
     """(id, row, cut): sorted byte spans that go, one row per changed document."""
     table = stored(chunk_table(docs), "line-chunks")
-    chunks = (table.select("id", "row", F.explode(F.arrays_zip("h", "s", "e", "w")).alias("c"))
-              .select("id", "row", "c.h", "c.s", "c.e", "c.w"))
-    again = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    again = stored(table.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select("h"), "line-again")
+    chunks = repeated(table, docs.sparkSession.sparkContext.broadcast(bitmap_of(again, "h")))
     marked = (chunks.join(again, "h").groupBy("id", "row")
               .agg(F.collect_set(F.struct("s", "e", "w", "h")).alias("marks")))
     body = F.col("text").cast("binary")
@@ -180,15 +228,18 @@ def removals(docs: DataFrame, copy_share: float | None, copy_test: tuple[int, in
     first = stored(held.groupBy("h", "body").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                    .where("n > 1").select("h", "body", "first"), "line-owners")
     later = (held.join(first, ["h", "body"]).where(place != F.col("first"))
-             .select("id", "row", "s", "e", "w", F.col("first.id").alias("owner"), F.col("first.row").alias("owner_row")))
-    if copy_share is not None:
-        later = stored(later, "line-repeats")
+             .select("id", "row", "s", "e", "w", (F.col("s") + F.octet_length("body")).alias("stop"),
+                     F.col("first.id").alias("owner"), F.col("first.row").alias("owner_row"),
+                     (F.col("s") - F.col("first.s")).alias("shift")))
+    later = stored(later, "line-repeats")
+    later = (later.where("w > 0").select("id", "row", "s", "e", "w", "owner", "owner_row", F.lit(False).alias("whole"))
+             .unionByName(extended(docs, later).withColumn("whole", F.lit(True))))
     out = cut_spans(later)
     if copy_share is None:
         return out
     out = stored(out, "line-cuts")
     other = (F.col("owner") != F.col("id")) | (F.col("owner_row") != F.col("row"))
-    near = (later.where(other & (F.col("id") != NO_ID) & (F.col("owner") != NO_ID))
+    near = (later.where(other & ~F.col("whole") & (F.col("id") != NO_ID) & (F.col("owner") != NO_ID))
             .groupBy("id", "row", "owner", "owner_row").agg(F.sum("w").alias("w"))
             .groupBy("id", "row").agg(F.max(F.struct("w", "owner", "owner_row")).alias("most"))
             .join(table.select("id", "row", "words").distinct(), ["id", "row"])
@@ -203,14 +254,130 @@ def removals(docs: DataFrame, copy_share: float | None, copy_test: tuple[int, in
             .unionByName(rest.join(exempt, ["id", "row"], "left_semi")))
 
 
+def repeated(table: DataFrame, bitmap) -> DataFrame:
+    """The chunks and anchors whose hash may be in the bitmap, one row each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column(c) for c in ("h", "s", "e", "w")]
+            h = lists[0].flatten()
+            at = pa.array(np.flatnonzero(bitmap_has(bitmap.value, h.to_numpy())))
+            parent = lists[0].value_parent_indices()
+            cols = [batch.column(c).take(parent.take(at)) for c in ("id", "row")] + [x.flatten().take(at) for x in lists]
+            yield pa.RecordBatch.from_arrays(cols, names=["id", "row", "h", "s", "e", "w"])
+
+    return table.mapInArrow(lean(run), "id long, row long, h long, s long, e long, w long")
+
+
+def picked(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents whose ``row`` may be among ``rows``, taken where the texts
+    lie, so that only they are shuffled; a join drops what the bitmap let through."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(rows, "row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bitmap_has(wanted.value, batch.column("row").to_numpy())))
+
+    return docs.mapInArrow(lean(run), "id long, row long, text string")
+
+
+def agree(a: bytes, b: bytes, a_open: bool, b_open: bool) -> tuple[int, bool]:
+    """Bytes of the whole words in front that ``a`` and ``b`` share, and whether
+    they are known: an open end may be inside a word that goes on."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))
+    p = int(differ[0]) if len(differ) else n
+    if p == n and ((p == len(a) and a_open) or (p == len(b) and b_open)):
+        return 0, False
+    ends = [p == len(x) or x[p] in WHITE for x in (a, b)]
+    if not all(ends):  # back to the end of the last whole word
+        while p and a[p - 1] not in WHITE:
+            p -= 1
+    while p and a[p - 1] in WHITE:
+        p -= 1
+    return p, True
+
+
+def extended(docs: DataFrame, later: DataFrame) -> DataFrame:
+    """(id, row, owner, owner_row, s, e, w): repeats, grown by whole words at both
+    ends as far as the owner's text agrees. Sides that agree over all bytes of one
+    ``REACH`` are compared again over the next."""
+    same = ["id", "row", "owner", "owner_row", "shift"]
+    along = Window.partitionBy(*same).orderBy("s", "e")
+    apart = F.when(F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1)) >= F.col("s"), 0).otherwise(1)
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    runs = (later.withColumn("apart", apart).withColumn("run", F.sum("apart").over(upto)).groupBy(*same, "run").agg(
+        F.min("s").alias("s"), F.max("e").alias("e"), F.max("stop").alias("stop"),
+        F.greatest(F.sum("w"), F.max(F.when(F.col("w") == 0, ANCHOR).otherwise(0))).alias("w")).drop("run"))
+    runs = stored(runs, "line-runs")
+    body, size = F.col("text").cast("binary"), F.octet_length(F.col("text").cast("binary"))
+
+    def windows(runs: DataFrame, reach: int | None) -> DataFrame:
+        """What stands before ``lo`` and behind ``hi`` in a text, and its size."""
+        ends = (runs.select("id", "row", F.col("s").alias("lo"), F.col("stop").alias("hi"))
+                .unionByName(runs.select(F.col("owner").alias("id"), F.col("owner_row").alias("row"),
+                                         F.col("os").alias("lo"), F.col("ostop").alias("hi"))))
+        ends = stored(ends.distinct(), "line-ends")
+        n = F.lit(reach) if reach else size
+        before = F.least(F.col("lo"), n)
+        mine = picked(docs, ends.select("row").distinct()).dropDuplicates(["id", "row"])
+        return stored(ends.join(mine, ["id", "row"]).select(
+            "id", "row", "lo", "hi", size.alias("size"),
+            F.substring(body, (F.col("lo") - before).cast("int") + 1, before.cast("int")).alias("before"),
+            F.substring(body, F.col("hi").cast("int") + 1, n.cast("int")).alias("behind")), "line-windows")
+
+    shape = "id long, row long, owner long, owner_row long, shift long, s long, e long, stop long, w long, known boolean"
+    names = [f.split()[0] for f in shape.split(", ")]
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.to_pylist():
+                a, b = x["my_before"], x["own_before"]
+                left, known = agree(a[::-1], b[::-1], len(a) < x["s"], len(b) < x["s"] - x["shift"])
+                c, d = x["my_behind"], x["own_behind"]
+                right, sure = agree(c, d, x["stop"] + len(c) < x["my_size"],
+                                    x["stop"] - x["shift"] + len(d) < x["own_size"])
+                w, e = x["w"] + len(a[len(a) - left:].split()) + len(c[:right].split()), x["e"]
+                out.append((*(x[k] for k in same), x["s"], e, x["stop"], x["w"], False) if not (known and sure) else
+                           (*(x[k] for k in same), x["s"] - left, max(e, x["stop"] + right), x["stop"], w, True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in out], pa.bool_() if n == "known" else pa.int64()) for i, n in enumerate(names)],
+                names=names)
+
+    def compared(runs: DataFrame, reach: int | None) -> DataFrame:
+        runs = runs.withColumns({"os": F.col("s") - F.col("shift"), "ostop": F.col("stop") - F.col("shift")})
+        sides = windows(runs, reach)
+        mine = sides.toDF("id", "row", "s", "stop", "my_size", "my_before", "my_behind")
+        own = sides.toDF("owner", "owner_row", "os", "ostop", "own_size", "own_before", "own_behind")
+        both = (runs.join(mine, ["id", "row", "s", "stop"]).join(own, ["owner", "owner_row", "os", "ostop"])
+                .select(*names[:-1], *[f"{n}_{x}" for n in ("my", "own") for x in ("before", "behind", "size")]))
+        return stored(both.mapInArrow(lean(grow), shape), "line-grown")
+
+    out = None
+    for reach in REACH:
+        grown = compared(runs, reach)
+        known = grown.where("known").drop("known", "shift", "stop")
+        out = known if out is None else out.unionByName(known)
+        runs = grown.where("not known").drop("known")
+        if runs.isEmpty():
+            break
+    return out
+
+
 def cut_spans(later: DataFrame) -> DataFrame:
-    """(id, row, cut): the runs of adjacent repeats of ``MIN_WORDS`` words or more."""
+    """(id, row, cut): the extended repeats and the runs of adjacent chunks of
+    ``MIN_WORDS`` words or more, as far as they meet in one span."""
     along = Window.partitionBy("id", "row").orderBy("s")
     apart = F.when(F.lag("e").over(along) == F.col("s"), 0).otherwise(1)
-    runs = (later.withColumn("apart", apart).withColumn("run", F.sum("apart").over(along))
+    runs = (later.where("not whole").withColumn("apart", apart).withColumn("run", F.sum("apart").over(along))
             .groupBy("id", "row", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("w").alias("w"))
+            .drop("run").unionByName(later.where("whole").select("id", "row", "s", "e", "w"))
             .where(F.col("w") >= MIN_WORDS))
-    return runs.groupBy("id", "row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("cut"))
+    before = F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    spans = (runs.withColumn("apart", F.when(before >= F.col("s"), 0).otherwise(1))
+             .withColumn("run", F.sum("apart").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy("id", "row", "run").agg(F.min("s").alias("s"), F.max("e").alias("e")))
+    return spans.groupBy("id", "row").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("cut"))
 
 
 def cut_text(text: Column, cut: Column) -> Column:
@@ -230,7 +397,8 @@ def copies(docs: DataFrame, near: DataFrame, out: DataFrame, rest: DataFrame, k:
                       ["owner", "owner_row"], "left_anti")
 
     def texts(ids: DataFrame, cuts: DataFrame) -> DataFrame:
-        mine = docs.join(ids.distinct(), ["id", "row"], "left_semi").dropDuplicates(["id", "row"])
+        mine = (picked(docs, ids.select("row").distinct()).join(ids.distinct(), ["id", "row"], "left_semi")
+                .dropDuplicates(["id", "row"]))
         left = F.when(F.col("cut").isNull(), F.col("text")).otherwise(cut_text(F.col("text"), F.col("cut")))
         return mine.join(cuts, ["id", "row"], "left").select("id", "row", left.alias("text"))
 

@@ -220,6 +220,23 @@ def test_repeated_passages_go_and_the_rest_stays(spark):
         assert raw.decode() == got[i].text
 
 
+def test_passages_inside_a_line_go_to_their_ends(spark):
+    rng = random.Random(12)
+    rows, parts = [], {}
+    for i in range(60):
+        passage = [f"p{i}x{rng.randrange(10**6)}" for _ in range((50, 55, 80, 120)[i % 4])]
+        for d in (2 * i, 2 * i + 1):
+            own = [f"o{d}x{rng.randrange(10**6)}" for _ in range(rng.randint(60, 200))]
+            at = rng.randrange(len(own))
+            rows.append((d, " ".join(own[:at] + passage + own[at:])))
+            parts[d] = " ".join(own)
+    rows += [(1000, "same " * 700 + "end of one"), (1001, "start of two " + "same " * 700)]
+    left = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for d, text in rows[:120]:
+        assert left[d].split() == (parts[d] if d % 2 else text).split(), d
+    assert len(left[1001]) < 100
+
+
 def test_copies_are_left_whole_on_request(spark):
     rng = random.Random(4)
     base = [sentence(rng) for _ in range(30)]
