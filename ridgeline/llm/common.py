@@ -14,6 +14,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,59 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
+    """Write ``df`` to the shared folder and read it back. Inside a ``Scratch``
+    block the table is deleted at the block's end unless it is kept."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.paths.append((spark, path))
+    return out
+
+
+class Scratch:
+    """A ``with`` block that owns the tables ``stored`` writes in it. At its end
+    they are deleted from the shared folder, but for those passed to ``keep``: a
+    lazy result still reads them, so they go to the enclosing block, if any."""
+
+    def __enter__(self) -> Scratch:
+        self.paths: list[tuple[SparkSession, str]] = []
+        self.kept: set[str] = set()
+        self.outer = _SCOPE.set(self)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.add(df._scratch)
+        return df
+
+    def __exit__(self, *error) -> None:
+        _SCOPE.reset(self.outer)
+        outer = _SCOPE.get()
+        for spark, path in self.paths:
+            if path not in self.kept:
+                delete(spark, path)
+            elif outer is not None:
+                outer.paths.append((spark, path))
+
+
+_SCOPE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and nothing reads any more."""
+    for df in tables:
+        delete(df.sparkSession, df._scratch)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def crc_mod(col, m: int):

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import q_corpus  # noqa: F401  (registers its queries)
+from ridgeline.llm import q_corpus, q_texts  # noqa: F401  (they register their queries)
 from ridgeline.llm.common import crc_mod, read_table
 from ridgeline.llm.lm_score import language_scores
 from ridgeline.llm.registry import ORACLES, QUERIES, register  # noqa: F401
