@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ridgeline.llm.common import read_table
 from ridgeline.llm.registry import register
 from ridgeline.llm.spelling import spelling_forms, word_counts
+from ridgeline.llm.token_alignment import align_tokenizers
 
 # ------------------------------------------------------------------ 11
 
@@ -56,3 +57,16 @@ SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT word, roo
 @register("op11_spelling_variants", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_forms(word_counts(read_table(spark, sf_dir, "documents"), slip_every=199))
+
+
+# ------------------------------------------------------------------ 13
+
+def tokenizer_files() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op13_tokenizer_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(read_table(spark, sf_dir, "documents"), *tokenizer_files(), keep=["doc_id"])
