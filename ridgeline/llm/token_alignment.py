@@ -33,22 +33,26 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import Scratch, doc_slices, lean, stored, text_buffers
 
-MEMO = 1 << 16        # windows that a worker remembers
-MEMO_IDS = 1 << 20    # ids of these windows
+MEMO = 1 << 18        # windows that a worker remembers
+MEMO_IDS = 1 << 21    # ids of these windows
+FEW = 64              # links of a group up to which they are written out
 HOT = 1 << 20         # pairs whose counts travel to the tasks
 ID_BITS = 20          # a token id is smaller than 2 ** 20
+ONE = 1 << 2 * ID_BITS  # one link; the bits below hold the pair
 LEVELS = 8            # levels of pair counts per power of two
 #: Fixed value: the split pattern of the byte-level BPE vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -71,14 +75,13 @@ def json_ranks(path: str) -> dict[bytes, int]:
 
 
 class Tokens:
-    """Bytes, byte length, decimal text and leading space of every id."""
+    """Bytes, byte length and leading space of every id."""
 
     def __init__(self, spelled: dict[int, bytes]):
         n = max(spelled) + 1
         self.bytes = [spelled.get(i, b"") for i in range(n)]
         self.size = np.array([len(b) for b in self.bytes], np.int64)
         self.space = np.array([b[:1] == b" " for b in self.bytes])
-        self.name = [str(i) for i in range(n)]
 
     def spell(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -95,40 +98,53 @@ class Aligner:
         self.a = Tokens({i: b for b, i in ranks.items()})
         self.b = Tokens({i: bytes([int(self.sp.id_to_piece(i)[3:5], 16)]) if self.sp.is_byte(i)
                          else self.sp.id_to_piece(i).replace("▁", " ").encode() for i in range(self.sp.get_piece_size())})
+        self.name = pa.array([str(i) for i in range(max(len(self.a.bytes), len(self.b.bytes)))])
         self.forget()
 
     def forget(self) -> None:
         self.memo: dict[bytes, int] = {}
         self.ids = 0
-        self.groups: list[str] = []        # of each window: its groups in text form
-        self.codes: list[list[int]] = []   # its distinct linked pairs
-        self.times: list[list[int]] = []   # and how many links each has
+        self.groups: list[str] = []    # of each window: its groups in text form
+        self.links: list[bytes] = []   # its links as packed words
+        self.many: list[int] = []      # and their number
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and B; none where the tokens do not spell the text."""
-        out = []
-        for t, b in zip(texts, self.sp.encode(texts, num_threads=1)):
-            want = b" " + t.encode()
-            a = self.encode_a(" " + t) if t else []
-            ok = t and self.a.spell(a) == want and self.b.spell(b) == want
-            out.append((a, b) if ok else ([], []))
-        return out
-
-    def remember(self, key: bytes, a: list[list[int]], b: list[list[int]]) -> int:
-        """Align one window, given the ids of its groups."""
-        pairs: Counter[int] = Counter()
-        for x, y in zip(a, b):
-            if len(x) == 1 and len(y) == 1:
-                pairs[x[0] << ID_BITS | y[0]] += 1
-            else:
-                for (i, m), (j, n) in ((p, q) for p in Counter(x).items() for q in Counter(y).items()):
-                    pairs[i << ID_BITS | j] += m * n
-        na, nb = self.a.name, self.b.name
-        self.groups.append(";".join([",".join([na[i] for i in x]) + "|" + ",".join([nb[j] for j in y]) for x, y in zip(a, b)]))
-        self.codes.append(list(pairs))
-        self.times.append(list(pairs.values()))
-        self.memo[key] = n = len(self.codes) - 1
-        return n
+        """Ids of A and B; none where the tokens do not spell the text. A's always
+        do: its pattern leaves out no character and merges keep bytes."""
+        return [(self.encode_a(" " + t), b) if t and self.b.spell(b) == b" " + t.encode() else ([], [])
+                for t, b in zip(texts, self.sp.encode(texts, num_threads=1))]
+
+    def remember(self, keys: list[bytes], names: list[str], links: list[bytes]) -> None:
+        for key, name, link in zip(keys, names, links):
+            self.memo[key] = len(self.many)
+            self.groups.append(name)
+            self.links.append(link)
+            self.many.append(len(link) // 8)
+            self.ids += len(key) // 4
+
+    def align_windows(self, a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+        """Groups in text form and packed links of windows, each the groups ``lo``
+        to ``hi``; ``ga`` and ``gb`` are the first tokens of the groups."""
+        g = spread(lo, hi - lo)
+        na, nb = ga[g + 1] - ga[g], gb[g + 1] - gb[g]
+        ta, tb = a[spread(ga[g], na)], b[spread(gb[g], nb)]
+        oa, ob = offsets(na), offsets(nb)
+        sides = [pc.binary_join(pa.ListArray.from_arrays(pa.array(o, pa.int32()), self.name.take(pa.array(t))), ",")
+                 for o, t in ((oa, ta), (ob, tb))]
+        per = offsets(hi - lo)
+        names = pc.binary_join(pa.ListArray.from_arrays(pa.array(per, pa.int32()), pc.binary_join_element_wise(*sides, "|")), ";")
+        small = na * nb <= FEW
+        n = np.where(small, na * nb, 0)
+        of = np.repeat(np.arange(len(g)), n)
+        at = np.arange(len(of)) - np.repeat(offsets(n)[:-1], n)
+        words = ONE | ta[oa[of] + at // nb[of]] << ID_BITS | tb[ob[of] + at % nb[of]]
+        raw, cut = words.tobytes(), (8 * offsets(n)[per]).tolist()
+        links = [raw[i:j] for i, j in zip(cut, cut[1:])]
+        for k in np.flatnonzero(~small).tolist():  # groups of many links: once per pair
+            x, y = (Counter(t[o[k]:o[k + 1]].tolist()) for t, o in ((ta, oa), (tb, ob)))
+            more = [w for (p, n), (q, m) in product(x.items(), y.items()) for w in packed(p << ID_BITS | q, n * m)]
+            links[int(np.searchsorted(per, k, side="right")) - 1] += array("q", more).tobytes()
+        return names.to_pylist(), links
 
     def align(self, docs: list[tuple[list[int], list[int]]]):
         """Per document: number of groups, digest of the groups; and of all
@@ -148,43 +164,56 @@ class Aligner:
             cuts.append((starts, words))
         (starts_a, words_a), (starts_b, words_b) = cuts
         shared, anchor = starts_a & starts_b, words_a & words_b
-        many = [len(d[0]) for d in docs]
-        first = np.concatenate([[0], np.cumsum(many)])  # tokens of A before each document
-        heads = begin_a[first[:-1][np.array(many, np.int64) > 0]] if len(a) else np.zeros(0, np.int64)
-        anchor[heads] = True
+        many = np.array([len(d[0]) for d in docs], np.int64)
+        first = offsets(many)  # tokens of A before each document
+        anchor[begin_a[first[:-1][many > 0]]] = True
         group_a, group_b = np.flatnonzero(shared[begin_a]), np.flatnonzero(shared[begin_b])
         window_a, window_b = np.flatnonzero(anchor[begin_a]), np.flatnonzero(anchor[begin_b])
-        window_group = np.searchsorted(group_a, window_a)
-        ga, gb = group_a.tolist() + [len(a)], group_b.tolist() + [len(b)]
-        wa, wb, wg = window_a.tolist() + [len(a)], window_b.tolist() + [len(b)], window_group.tolist() + [len(group_a)]
         raw_a, raw_b = xa.astype("<u4").tobytes(), (xb | 1 << 31).astype("<u4").tobytes()
-        keys = [raw_a[4 * i:4 * j] + raw_b[4 * k:4 * m] for i, j, k, m in zip(wa, wa[1:], wb, wb[1:])]
+        wa, wb = (4 * window_a).tolist() + [4 * len(a)], (4 * window_b).tolist() + [4 * len(b)]
+        keys = [raw_a[i:j] + raw_b[k:m] for i, j, k, m in zip(wa, wa[1:], wb, wb[1:])]
         known = list(map(self.memo.get, keys))
-        for p, n in enumerate(known):
-            if n is None:
-                n = self.memo.get(keys[p])
-                if n is None:
-                    groups = range(wg[p], wg[p + 1])
-                    n = self.remember(keys[p], [a[ga[g]:ga[g + 1]] for g in groups], [b[gb[g]:gb[g + 1]] for g in groups])
-                    self.ids += len(keys[p]) // 4
-                known[p] = n
-        of_doc = np.searchsorted(window_a, first).tolist()
-        n_groups = np.diff(np.searchsorted(group_a, first))
+        fresh = {k: p for p, (k, n) in enumerate(zip(keys, known)) if n is None}
+        if fresh:
+            at = np.fromiter(fresh.values(), np.int64)
+            wg = np.append(np.searchsorted(group_a, window_a), len(group_a))
+            self.remember(list(fresh), *self.align_windows(xa, xb, np.append(group_a, len(a)), np.append(group_b, len(b)),
+                                                           wg[at], wg[at + 1]))
+            known = list(map(self.memo.get, keys))
+        of_doc = np.searchsorted(window_a, first)
+        cut = of_doc.tolist()
         digests = [hashlib.sha256(";".join(map(self.groups.__getitem__, known[i:j])).encode()).hexdigest() if j > i else ""
-                   for i, j in zip(of_doc, of_doc[1:])]
-        codes = np.fromiter(chain.from_iterable(map(self.codes.__getitem__, known)), np.int64)
-        times = np.fromiter(chain.from_iterable(map(self.times.__getitem__, known)), np.int64)
-        each = np.fromiter((len(self.codes[n]) for n in known), np.int64, len(known))
-        doc = np.repeat(np.repeat(np.arange(len(docs)), np.diff(of_doc)), each)
-        mixed = doc << 2 * ID_BITS | codes
-        order = np.argsort(mixed, kind="stable")
+                   for i, j in zip(cut, cut[1:])]
+        raw = np.frombuffer(b"".join(map(self.links.__getitem__, known)), np.int64)
+        each = np.array(self.many, np.int64)[known] if known else np.zeros(0, np.int64)
+        doc = np.repeat(np.arange(len(docs)), np.diff(offsets(each)[of_doc]))
+        mixed = doc << 2 * ID_BITS | raw & ONE - 1
+        order = np.argsort(mixed)
         mixed = mixed[order]
         new = np.ones(len(mixed), bool)
         new[1:] = mixed[1:] != mixed[:-1]
         at = np.flatnonzero(new)
-        links = np.add.reduceat(times[order], at) if len(at) else at
+        links = np.add.reduceat(raw[order] >> 2 * ID_BITS, at) if len(at) else at
         mixed = mixed[at]
-        return n_groups, digests, mixed >> 2 * ID_BITS, mixed & (1 << 2 * ID_BITS) - 1, links
+        return np.diff(np.searchsorted(group_a, first)), digests, mixed >> 2 * ID_BITS, mixed & ONE - 1, links
+
+
+def offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges (start, size), one after the other."""
+    return np.arange(sizes.sum()) + np.repeat(starts - offsets(sizes)[:-1], sizes)
+
+
+def packed(code: int, links: int) -> Iterator[int]:
+    """A pair and its number of links, as much of it as fits, in one word each."""
+    most = (1 << 62 - 2 * ID_BITS) - 1
+    while links:
+        n = min(links, most)
+        yield n << 2 * ID_BITS | code
+        links -= n
 
 
 @lru_cache(maxsize=2)
