@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridgeline.llm.common import read_table
+from ridgeline.llm.pii import BASE_KINDS, find_personal
 from ridgeline.llm.registry import register
 from ridgeline.llm.spelling import spelling_forms, word_counts
 from ridgeline.llm.token_alignment import align_tokenizers
@@ -59,6 +61,22 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_forms(word_counts(read_table(spark, sf_dir, "documents"), slip_every=199))
 
 
+# ------------------------------------------------------------------ 12
+
+@register("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def line(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(line(F.col("base")), 256).alias("base_sha256"),
+                        line(F.sort_array(F.concat("base", "added"))).alias("spans"))
+
+
 # ------------------------------------------------------------------ 13
 
 def tokenizer_files() -> tuple[str, str]:
