@@ -46,8 +46,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import (U64, as_i64, bitmap_has, bitmap_of, doc_slices, lean, shingles, splitmix,
-                                  stored, text_buffers, word_hashes)
+from ridgeline.llm.common import (U64, Scratch, as_i64, bitmap_has, bitmap_of, doc_slices, lean, shingles,
+                                  splitmix, stored, text_buffers, word_hashes)
 from ridgeline.llm.components import components
 
 BLOCK_ROWS = 512
@@ -312,52 +312,90 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, num: int, den: int) -> Dat
 
 # ------------------------------------------------------------------ operator
 
-def near_duplicates(df: DataFrame, k: int = 5, num: int = 80, den: int = 100,
-                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
-    docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
-                     F.col(f"`{text}`").cast("string").alias("text"))
-    sig = stored(signatures(docs, k, num, den), "jaccard-signatures")
-    classes = (sig.where("n > 0").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")))
-    classes = stored(classes, "jaccard-classes")
-    own = classes.where("rep is not null").withColumnRenamed("rep", "doc_id")
-    lead = (sig.where(F.size("keys") > 0).select("doc_id", "n", "hi", "lo", "keys")
-            .join(own, ["n", "hi", "lo", "doc_id"], "left_semi"))
-    by_key = Window.partitionBy("key").orderBy("rep")
-    shared = stored(
-        lead.select(F.col("doc_id").alias("rep"), "n", F.explode("keys").alias("key"))
-        .select("key", "rep", "n", F.lag("rep").over(by_key).alias("before"), F.lead("rep").over(by_key).alias("after"))
-        .where((F.col("before") != F.col("rep")) | (F.col("after") != F.col("rep")))
-        .select("key", "rep", "n"), "jaccard-shared")
-    sketches = (sig.where(F.size("keys") > 0).select(F.col("doc_id").alias("rep"), "n", "sketch")
-                .join(shared.select("rep", "n").distinct(), ["rep", "n"], "left_semi"))
-    sketches = stored(sketches.distinct(), "jaccard-sketches")
-    edges, comps = None, None
-    for every in (False, True):
-        pairs = stored(candidates(shared, sketches, comps, num, den, every), "jaccard-pairs")
-        if pairs.isEmpty():
-            break
-        links = verify(pairs, docs, k, num, den)
-        edges = stored(links if edges is None else edges.unionByName(links), "jaccard-links")
-        comps = stored(components(edges), "jaccard-components")
+def named_texts(df: DataFrame, doc_id: str, text: str, name: str) -> tuple[DataFrame, bool]:
+    """``df`` with a column ``name`` that names a text: the id itself, but for ids
+    that stand at several texts, where only the text of least hash keeps it and the
+    others get a number of their own. And whether there are such ids."""
+    ident, h = F.col(f"`{doc_id}`").cast("long"), F.xxhash64(F.col(f"`{text}`").cast("string"))
+    mixed = (df.where(ident.isNotNull()).select(ident.alias("of"), h.alias("h")).groupBy("of")
+             .agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high"))
+    low, of = (_free(df, n) for n in ("_low", "_of"))
+    mixed = stored(mixed.select(F.col("of").alias(of), F.col("low").alias(low)), "jaccard-mixed")
+    if mixed.isEmpty():
+        return df.withColumn(name, ident), False
+    own = F.when(F.col(low).isNull() | (h == F.col(low)), ident).otherwise(F.xxhash64(ident, F.col(f"`{text}`").cast("string"), F.lit("")))
+    return df.join(mixed, ident == F.col(of), "left").withColumn(name, own).drop(low, of), True
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    held = {c.lower() for c in df.columns}
+    return next(x for x in (f"{name}{'_' * k}" for k in range(99)) if x not in held)
+
+
+def text_classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(doc_id, n, component): every row of a table (doc_id, text), whose ids name
+    texts, with the size of its shingle set and the least id it reaches."""
+    with Scratch() as scratch:
+        sig = scratch.keep(stored(signatures(docs, k, num, den), "jaccard-signatures"))
+        classes = (sig.where("n > 0").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")))
+        classes = scratch.keep(stored(classes, "jaccard-classes"))
+        own = classes.where("rep is not null").withColumnRenamed("rep", "doc_id")
+        lead = (sig.where(F.size("keys") > 0).select("doc_id", "n", "hi", "lo", "keys")
+                .join(own, ["n", "hi", "lo", "doc_id"], "left_semi"))
+        keys = lead.select(F.col("doc_id").alias("rep"), "n", F.explode("keys").alias("key"))
+        met = (keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+               .where("low <> high").select("key"))
+        shared = stored(keys.join(met, "key", "left_semi").select("key", "rep", "n"), "jaccard-shared")
+        sketches = (sig.where(F.size("keys") > 0).select(F.col("doc_id").alias("rep"), "n", "sketch")
+                    .join(shared.select("rep", "n").distinct(), ["rep", "n"], "left_semi"))
+        sketches = stored(sketches.distinct(), "jaccard-sketches")
+        edges, comps = None, None
+        for every in (False, True):
+            pairs = stored(candidates(shared, sketches, comps, num, den, every), "jaccard-pairs")
+            if pairs.isEmpty():
+                break
+            links = verify(pairs, docs, k, num, den)
+            edges = stored(links if edges is None else edges.unionByName(links), "jaccard-links")
+            comps = scratch.keep(stored(components(edges), "jaccard-components"))
     if comps is None:
-        named = classes.withColumn("component_id", F.col("rep"))
+        named = classes.withColumn("component", F.col("rep"))
     else:
         named = (classes.join(comps, classes["rep"] == comps["node"], "left")
-                 .select("n", "hi", "lo", F.coalesce("component", "rep").alias("component_id")))
-    slim = sig.select("doc_id", "n", "hi", "lo")
-    return (slim.join(named.select("n", "hi", "lo", "component_id"), ["n", "hi", "lo"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+                 .select("n", "hi", "lo", F.coalesce("component", "rep").alias("component")))
+    return (sig.select("doc_id", "n", "hi", "lo").join(named.select("n", "hi", "lo", "component"), ["n", "hi", "lo"], "left")
+            .select("doc_id", "n", F.coalesce("component", "doc_id").alias("component")))
+
+
+def near_duplicates(df: DataFrame, k: int = 5, num: int = 80, den: int = 100,
+                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    named, mixed = named_texts(df.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")),
+                               "id", "text", "doc_id")
+    found = text_classes(named.select("doc_id", "text"), k, num, den)
+    if not mixed:
+        return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    ids = named.where("id is not null").select("doc_id", "id").distinct()
+    low = found.join(ids, "doc_id").groupBy("component").agg(F.min("id").alias("component_id"))
+    return (found.join(ids, "doc_id", "left").join(low, "component", "left")
+            .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id"))
 
 
 def drop_near_duplicates(df: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One document of each class stays: the row whose doc_id is the class id.
-    Of rows that repeat that id, the one with the smallest text digest stays.
-    Documents without words are classes of their own; rows without an id stay."""
-    classes = near_duplicates(df, k, num, den).select("doc_id", "component_id")
-    stay = classes.where("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    named = (df.where("doc_id is not null").join(stay, "doc_id", "left_semi")
-             .withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row"))
-    return named.select(df.columns).unionByName(df.where("doc_id is null"))
+    """One row of each class stays: the one whose text names the class, that is the
+    text of the smallest id. An id that stands at several texts is several documents,
+    each in the class of its own text. Of rows that repeat id and text one stays (the
+    least by a hash of all columns). Documents without words are classes of their
+    own; rows without an id stay."""
+    name, rank = _free(df, "_name"), _free(df, "_rank")
+    named, mixed = named_texts(df, "doc_id", "text", name)
+    found = text_classes(named.select(F.col(name).alias("doc_id"), F.col("text").cast("string").alias("text")), k, num, den)
+    if mixed:  # a number of its own may be smaller than the smallest id
+        ids = named.where("doc_id is not null").select(F.col(name).alias("text"), F.col("doc_id").alias("id")).distinct()
+        least = found.join(ids, F.col("doc_id") == F.col("text")).groupBy("component").agg(F.min(F.struct("id", "text")).alias("m"))
+        stay = least.select(F.col("m.text").alias(name))
+    else:
+        stay = found.where("doc_id = component").select(F.col("doc_id").alias(name)).distinct()
+    first = Window.partitionBy(name).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    kept = named.join(stay, name, "left_semi").withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1)
+    return kept.select(df.columns).unionByName(df.where("doc_id is null"))

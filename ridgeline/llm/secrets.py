@@ -54,7 +54,8 @@ ALLOW = (
     re.compile(r"[0-9_./=+-]+"),                                        # numbers, dates, rules
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUID
     re.compile(r"(.{1,6}?)\1{2,}.{0,5}"),                               # a short unit repeated
-    re.compile(r"[A-Z]?[a-z]*(?:[_/+=-]+[A-Z]?[a-z]*)*|[A-Z]+(?:[_/+=-]+[A-Z]*)*"),  # plain words
+    # plain words; possessive, because runs of separators can be cut in many ways
+    re.compile(r"[A-Z]?[a-z]*+(?:[_/+=-]++[A-Z]?[a-z]*+)*+|[A-Z]++(?:[_/+=-]++[A-Z]*+)*+"),
     re.compile(r".*(?:EXAMPLE|example|placeholder|changeme|xxxxxx|XXXXXX).*"),
 )
 _PLOGP = [0.0] + [c / WINDOW * math.log2(c / WINDOW) for c in range(1, WINDOW + 1)]
@@ -108,14 +109,16 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 def find_secrets(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns plus ``found``: all spans by start, then by kind as listed."""
-    src = df.select(*[F.col(f"`{c}`") for c in keep or []], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
-    fields = [f for f in src.schema if f.name != "_text"]
+    held = {c.lower() for c in keep or []}
+    body = next(n for n in (f"_text{'_' * k}" for k in range(99)) if n not in held)
+    src = df.select(*[F.col(f"`{c}`") for c in keep or []], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(body))
+    fields = [f for f in src.schema if f.name != body]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"found {SPANS}"])
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("_text")
+            at = batch.schema.get_field_index(body)
             found = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan(t.as_py())]
                      for t in batch.column(at)]
             rest = [c for i, c in enumerate(batch.columns) if i != at]

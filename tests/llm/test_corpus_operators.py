@@ -509,3 +509,16 @@ def test_language_frames(edge_docs, no_docs):
     assert M.language_scores(no_docs, held).count() == 0
     nobody = M.language_scores(edge_docs, F.lit(True)).collect()
     assert all(abs(r.base_score) < 1e-9 and r.train_tokens == 0 and r.n_known == 0 for r in nobody)
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """An id at several texts is several documents: only real copies go."""
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(f"{n}{rng.randrange(10**6)}" for _ in range(60)) for n in "abcd")
+    near = a.rsplit(" ", 1)[0] + " other"
+    rows = [(0, near), (5, a), (5, b), (7, c), (7, d), (9, c), (9, c), (11, ""), (11, None)]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, _name int")
+    kept = sorted((r.doc_id, r.text or "") for r in J.drop_near_duplicates(df).collect())
+    assert kept == sorted([(0, near), (5, b), (7, c), (7, d), (11, ""), (11, "")])
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df).collect())
+    assert got == sorted([(0, 56, 0), (5, 56, 0), (5, 56, 5), (7, 56, 7), (7, 56, 7), (9, 56, 7), (9, 56, 7), (11, 0, 11), (11, 0, 11)])

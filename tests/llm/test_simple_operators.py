@@ -227,3 +227,22 @@ def test_secret_frames(edge_docs, no_docs):
     rows = S.find_secrets(edge_docs, keep=["doc_id", "n_chars"]).collect()
     assert len(rows) == edge_docs.count() and all(r.found is not None for r in rows)
     assert S.find_secrets(no_docs, keep=["doc_id"]).count() == 0
+
+
+def test_long_rules_end_at_once():
+    """Rule lines of thousands of signs in front of words and digits: the allow
+    list must stay linear."""
+    import time
+
+    began = time.time()
+    for sign in "=-_/+":
+        for tail in ("Release2notes9x", "word", "A1", "ab" * 3000 + "9", (sign * 3 + "Ab") * 2000 + "7"):
+            S.scan("x " + sign * 5000 + tail + " y")
+    assert time.time() - began < 10
+    assert not S.entropy_hit("=" * 30 + "Some_plain-words/Joined+by=signs")
+
+
+def test_secret_columns_may_clash(spark):
+    df = spark.createDataFrame([("token = abcdefghijkl123", "kept")], "text string, _text string")
+    (row,) = S.find_secrets(df, keep=["_text"]).collect()
+    assert row._text == "kept" and [s.kind for s in row.found] == ["assign"]
