@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import (_SPACE, U64, _powers, as_i64, bitmap_has, bitmap_of, doc_slices, lean, shingles,
+from ridgeline.llm.common import (_SPACE, U64, Scratch, _powers, as_i64, bitmap_has, bitmap_of, doc_slices, lean, shingles,
                                   splitmix, stored, text_buffers, word_hashes)
 
 NO_ID = -(1 << 63)
@@ -214,26 +214,13 @@ def removals(docs: DataFrame, copy_share: float | None, copy_test: tuple[int, in
     again = stored(table.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
                    .where("n > 1").select("h"), "line-again")
     chunks = repeated(table, docs.sparkSession.sparkContext.broadcast(bitmap_of(again, "h")))
-    marked = (chunks.join(again, "h").groupBy("id", "row")
-              .agg(F.collect_set(F.struct("s", "e", "w", "h")).alias("marks")))
-    body = F.col("text").cast("binary")
-    held = stored(
-        docs.join(marked, ["id", "row"])
-        .select("id", "row", F.explode(F.transform("marks", lambda m: F.struct(
-            m.s.alias("s"), m.e.alias("e"), m.w.alias("w"), m.h.alias("h"),
-            F.substring(body, m.s.cast("int") + 1, (m.e - m.s).cast("int")).alias("body")))).alias("m"))
-        .select("id", "row", "m.s", "m.e", "m.w", "m.h", F.rtrim(F.col("m.body").cast("string"), F.lit(" \t\n\v\f\r")).alias("body"))
-        .distinct(), "line-bodies")
-    place = F.struct("id", "row", "s")
-    first = stored(held.groupBy("h", "body").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                   .where("n > 1").select("h", "body", "first"), "line-owners")
-    later = (held.join(first, ["h", "body"]).where(place != F.col("first"))
-             .select("id", "row", "s", "e", "w", (F.col("s") + F.octet_length("body")).alias("stop"),
-                     F.col("first.id").alias("owner"), F.col("first.row").alias("owner_row"),
-                     (F.col("s") - F.col("first.s")).alias("shift")))
-    later = stored(later, "line-repeats")
-    later = (later.where("w > 0").select("id", "row", "s", "e", "w", "owner", "owner_row", F.lit(False).alias("whole"))
-             .unionByName(extended(docs, later).withColumn("whole", F.lit(True))))
+    first = (chunks.groupBy("h").agg(F.min(F.struct("id", "row", "s")).alias("first"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("h", "first"))
+    met = (chunks.join(first, "h").where(F.struct("id", "row", "s") != F.col("first"))
+           .select("id", "row", F.col("first.id").alias("owner"), F.col("first.row").alias("owner_row"),
+                   (F.col("s") - F.col("first.s")).alias("shift"), F.struct("s", "e", "w").alias("mark"))
+           .groupBy(*SAME).agg(F.collect_set("mark").alias("marks")))
+    later = stored(compared(docs, stored(met, "line-pairs")), "line-repeats")
     out = cut_spans(later)
     if copy_share is None:
         return out
@@ -297,71 +284,101 @@ def agree(a: bytes, b: bytes, a_open: bool, b_open: bool) -> tuple[int, bool]:
     return p, True
 
 
-def extended(docs: DataFrame, later: DataFrame) -> DataFrame:
-    """(id, row, owner, owner_row, s, e, w): repeats, grown by whole words at both
-    ends as far as the owner's text agrees. Sides that agree over all bytes of one
-    ``REACH`` are compared again over the next."""
-    same = ["id", "row", "owner", "owner_row", "shift"]
-    along = Window.partitionBy(*same).orderBy("s", "e")
-    apart = F.when(F.max("e").over(along.rowsBetween(Window.unboundedPreceding, -1)) >= F.col("s"), 0).otherwise(1)
-    upto = along.rowsBetween(Window.unboundedPreceding, 0)
-    runs = (later.withColumn("apart", apart).withColumn("run", F.sum("apart").over(upto)).groupBy(*same, "run").agg(
-        F.min("s").alias("s"), F.max("e").alias("e"), F.max("stop").alias("stop"),
-        F.greatest(F.sum("w"), F.max(F.when(F.col("w") == 0, ANCHOR).otherwise(0))).alias("w")).drop("run"))
-    runs = stored(runs, "line-runs")
+SAME = ["id", "row", "owner", "owner_row", "shift"]
+PAIR = "id long, row long, owner long, owner_row long, shift long"
+REPEAT = "id long, row long, owner long, owner_row long, s long, e long, w long, whole boolean"
+MARKS = "array<struct<s:bigint,e:bigint,w:bigint>>"
+
+
+def repeats(marks: list[tuple[int, int, int]], mine: bytes, lo: int, size: int, own: bytes, own_lo: int, own_size: int,
+            shift: int) -> tuple[list[tuple], list[tuple]]:
+    """Marks (s, e, w) of a document against its owner, given a part of each text
+    that begins at ``lo`` and ``own_lo``. Returns the repeats (s, e, w, whole): the
+    chunks whose bytes agree, and their runs, grown by whole words as far as both
+    texts agree; and the runs that agree up to the end of a part, as marks."""
+    found, runs, open_ = [], [], []
+    for s, e, w in sorted(marks):
+        body = mine[s - lo:e - lo].rstrip(WHITE)
+        at = s - shift - own_lo
+        if not body or own[at:at + len(body)] != body:
+            continue  # equal hashes of other bytes
+        if w:
+            found.append((s, e, w, False))
+        if runs and s <= runs[-1][1]:
+            runs[-1][1:] = max(runs[-1][1], e), max(runs[-1][2], s + len(body))
+        else:
+            runs.append([s, e, s + len(body)])
+    for s, e, stop in runs:
+        for most in (256, len(mine) + len(own)):  # seldom more than a few words
+            i, j = s - lo, s - shift - own_lo
+            a, b = mine[max(0, i - most):i], own[max(0, j - most):j]
+            left, known = agree(a[::-1], b[::-1], len(a) < s, len(b) < s - shift)
+            i, j = stop - lo, stop - shift - own_lo
+            a, b = mine[i:i + most], own[j:j + most]
+            right, sure = agree(a, b, stop + len(a) < size, stop - shift + len(b) < own_size)
+            if known and sure:
+                break
+        if known and sure:
+            a, b = s - left, max(e, stop + right)
+            found.append((a, b, len(mine[a - lo:b - lo].split()), True))
+        else:
+            open_.append((s, e, max(1, len(mine[s - lo:e - lo].split()))))
+    return found, open_
+
+
+def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """REPEAT rows of (SAME, marks). A part of the document around its marks is taken
+    once per pair and brought to the owner's text, where the same part is cut out, so
+    that neither text is copied. Runs that agree over all of one ``REACH`` around
+    them are compared again over the next."""
     body, size = F.col("text").cast("binary"), F.octet_length(F.col("text").cast("binary"))
 
-    def windows(runs: DataFrame, reach: int | None) -> DataFrame:
-        """What stands before ``lo`` and behind ``hi`` in a text, and its size."""
-        ends = (runs.select("id", "row", F.col("s").alias("lo"), F.col("stop").alias("hi"))
-                .unionByName(runs.select(F.col("owner").alias("id"), F.col("owner_row").alias("row"),
-                                         F.col("os").alias("lo"), F.col("ostop").alias("hi"))))
-        ends = stored(ends.distinct(), "line-ends")
-        n = F.lit(reach) if reach else size
-        before = F.least(F.col("lo"), n)
-        mine = picked(docs, ends.select("row").distinct()).dropDuplicates(["id", "row"])
-        return stored(ends.join(mine, ["id", "row"]).select(
-            "id", "row", "lo", "hi", size.alias("size"),
-            F.substring(body, (F.col("lo") - before).cast("int") + 1, before.cast("int")).alias("before"),
-            F.substring(body, F.col("hi").cast("int") + 1, n.cast("int")).alias("behind")), "line-windows")
-
-    shape = "id long, row long, owner long, owner_row long, shift long, s long, e long, stop long, w long, known boolean"
-    names = [f.split()[0] for f in shape.split(", ")]
-
-    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sides(pairs: DataFrame, reach: int | None) -> DataFrame:
+        low, high = F.array_min(F.transform("marks", lambda m: m.s)), F.array_max(F.transform("marks", lambda m: m.e))
+        if reach is not None:
+            low, high = low - reach, high + reach
+        else:
+            low, high = F.lit(0).cast("long"), F.lit(1 << 40)
+        mine = picked(docs, pairs.select("row").distinct()).dropDuplicates(["id", "row"])
+        one = (pairs.withColumns({"lo": F.greatest(low, F.lit(0)), "hi": high}).join(mine, ["id", "row"])
+               .select(*SAME, "marks", "lo", F.least("hi", size).alias("hi"), size.alias("size"),
+                       F.substring(body, F.col("lo").cast("int") + 1, (F.least("hi", size) - F.col("lo")).cast("int")).alias("mine")))
+        owner = (picked(docs, pairs.select(F.col("owner_row").alias("row")).distinct()).dropDuplicates(["id", "row"])
+                 .select(F.col("id").alias("owner"), F.col("row").alias("owner_row"), "text"))
+        at = F.greatest(F.col("lo") - F.col("shift") - 1, F.lit(0))  # and the byte beyond, if the document ends there
+        until = F.least(F.col("hi") - F.col("shift") + 1, size)
+        return (one.join(owner, ["owner", "owner_row"])
+                .select(*SAME, "marks", "lo", "size", "mine", at.alias("own_lo"), size.alias("own_size"),
+                        F.substring(body, at.cast("int") + 1, F.greatest(until - at, F.lit(0)).cast("int")).alias("own")))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in PAIR.split(", ")]
         for batch in batches:
-            out = []
-            for x in batch.to_pylist():
-                a, b = x["my_before"], x["own_before"]
-                left, known = agree(a[::-1], b[::-1], len(a) < x["s"], len(b) < x["s"] - x["shift"])
-                c, d = x["my_behind"], x["own_behind"]
-                right, sure = agree(c, d, x["stop"] + len(c) < x["my_size"],
-                                    x["stop"] - x["shift"] + len(d) < x["own_size"])
-                w, e = x["w"] + len(a[len(a) - left:].split()) + len(c[:right].split()), x["e"]
-                out.append((*(x[k] for k in same), x["s"], e, x["stop"], x["w"], False) if not (known and sure) else
-                           (*(x[k] for k in same), x["s"] - left, max(e, x["stop"] + right), x["stop"], w, True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in out], pa.bool_() if n == "known" else pa.int64()) for i, n in enumerate(names)],
-                names=names)
-
-    def compared(runs: DataFrame, reach: int | None) -> DataFrame:
-        runs = runs.withColumns({"os": F.col("s") - F.col("shift"), "ostop": F.col("stop") - F.col("shift")})
-        sides = windows(runs, reach)
-        mine = sides.toDF("id", "row", "s", "stop", "my_size", "my_before", "my_behind")
-        own = sides.toDF("owner", "owner_row", "os", "ostop", "own_size", "own_before", "own_behind")
-        both = (runs.join(mine, ["id", "row", "s", "stop"]).join(own, ["owner", "owner_row", "os", "ostop"])
-                .select(*names[:-1], *[f"{n}_{x}" for n in ("my", "own") for x in ("before", "behind", "size")]))
-        return stored(both.mapInArrow(lean(grow), shape), "line-grown")
-
-    out = None
+            keys, out, more = [batch.column(c).to_pylist() for c in names], [], []
+            for i in range(len(batch)):
+                marks = [(m["s"], m["e"], m["w"]) for m in batch.column("marks")[i].as_py()]
+                lo, size_, own_lo, own_size = (batch.column(c)[i].as_py() for c in ("lo", "size", "own_lo", "own_size"))
+                found, left = repeats(marks, batch.column("mine")[i].as_py(), lo, size_, batch.column("own")[i].as_py(),
+                                      own_lo, own_size, keys[4][i])
+                key = tuple(k[i] for k in keys)
+                out += [(*key, *r, None) for r in found]
+                if left:
+                    more.append((*key, None, None, None, None, [{"s": s, "e": e, "w": w} for s, e, w in left]))
+            cols = list(zip(*(out + more))) or [[]] * 10
+            kinds = [pa.int64()] * 8 + [pa.bool_(), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("w", pa.int64())]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                             names=[*names, "s", "e", "w", "whole", "marks"])
+
+    done = None
     for reach in REACH:
-        grown = compared(runs, reach)
-        known = grown.where("known").drop("known", "shift", "stop")
-        out = known if out is None else out.unionByName(known)
-        runs = grown.where("not known").drop("known")
-        if runs.isEmpty():
+        told = stored(sides(pairs, reach).mapInArrow(lean(check), f"{PAIR}, s long, e long, w long, whole boolean, marks {MARKS}"), "line-told")
+        # the chunks of a run are reported once, in the first comparison
+        sure = told.where("marks is null" if done is None else "marks is null and whole").drop("marks", "shift")
+        done = sure if done is None else done.unionByName(sure)
+        pairs = told.where("marks is not null").select(*SAME, "marks")
+        if pairs.isEmpty():
             break
-    return out
+    return done
 
 
 def cut_spans(later: DataFrame) -> DataFrame:
@@ -441,7 +458,8 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", copy_
     ident = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID))
     row = F.xxhash64(ident, t)
     docs = df.select(ident.alias("id"), row.alias("row"), t.alias("text")).where("text is not null")
-    gone = stored(removals(docs, copy_share, copy_test), "line-removals")
+    with Scratch() as scratch:
+        gone = scratch.keep(stored(removals(docs, copy_share, copy_test), "line-removals"))
     gone = gone.select(F.col("id").alias(id_), F.col("row").alias(row_), F.col("cut").alias(cut_))
     left = cut_text(t, F.col(cut_))
     joined = df.withColumns({id_: ident, row_: row}).join(gone, [id_, row_], "left")
