@@ -55,7 +55,7 @@ WHITE = b" \t\n\v\f\r"
 LONG_LINE, CUT_EVERY = 12, 6   # words
 MIN_WORDS = 8                  # of a run of adjacent chunks that may be removed
 ANCHOR, WINDOW = 12, 38        # words of an anchor; anchors of which the least is taken
-REACH = (64, 1024, None)       # bytes compared on both sides of a repeat, in turn; None: whole texts
+REACH = (512, None)            # bytes compared on both sides of a repeat, in turn; None: whole texts
 COPY_TEST = (5, 80, 100)       # shingle words and least Jaccard (num, den) of a copy
 _RAW = splitmix(np.arange(1, 257, dtype=np.uint64) * U64(0x8CB92BA72F3D8DD7))
 _END = np.zeros(256, bool)
@@ -332,6 +332,11 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     that neither text is copied. Runs that agree over all of one ``REACH`` around
     them are compared again over the next."""
     body, size = F.col("text").cast("binary"), F.octet_length(F.col("text").cast("binary"))
+    again = not docs.groupBy("id", "row").count().where("count > 1").isEmpty()
+
+    def once(ids: DataFrame) -> DataFrame:
+        mine = picked(docs, ids.distinct())
+        return mine.dropDuplicates(["id", "row"]) if again else mine  # rows that repeat are rare, sorting texts is not free
 
     def sides(pairs: DataFrame, reach: int | None) -> DataFrame:
         low, high = F.array_min(F.transform("marks", lambda m: m.s)), F.array_max(F.transform("marks", lambda m: m.e))
@@ -339,11 +344,11 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             low, high = low - reach, high + reach
         else:
             low, high = F.lit(0).cast("long"), F.lit(1 << 40)
-        mine = picked(docs, pairs.select("row").distinct()).dropDuplicates(["id", "row"])
+        mine = once(pairs.select("row"))
         one = (pairs.withColumns({"lo": F.greatest(low, F.lit(0)), "hi": high}).join(mine, ["id", "row"])
                .select(*SAME, "marks", "lo", F.least("hi", size).alias("hi"), size.alias("size"),
                        F.substring(body, F.col("lo").cast("int") + 1, (F.least("hi", size) - F.col("lo")).cast("int")).alias("mine")))
-        owner = (picked(docs, pairs.select(F.col("owner_row").alias("row")).distinct()).dropDuplicates(["id", "row"])
+        owner = (once(pairs.select(F.col("owner_row").alias("row")))
                  .select(F.col("id").alias("owner"), F.col("row").alias("owner_row"), "text"))
         at = F.greatest(F.col("lo") - F.col("shift") - 1, F.lit(0))  # and the byte beyond, if the document ends there
         until = F.least(F.col("hi") - F.col("shift") + 1, size)
