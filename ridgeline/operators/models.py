@@ -9,6 +9,7 @@ kind at prediction time).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -33,22 +34,26 @@ from ridgeline.spec import FeatureSpec
 SEED = 42
 MAX_DEPTH_UNLIMITED = 30  # Spark's largest tree depth stands in for "no limit"
 
-SPLIT = "minRowsToSplit"  # grid dimension of single trees, see operators/tree_grid.py
+SPLIT = "minRowsToSplit"  # grid dimension of trees, see operators/tree_grid.py
 
-# The reference's hyper-parameter grids, mapped to Spark names
-# (colsample_bytree becomes the per-node feature fraction; the forest's
-# min_samples_split has no Spark equivalent).
+# The hyper-parameter grids, in Spark names (the column share of a
+# boosted tree becomes the per-node feature fraction).
 DT_GRID = {"maxDepth": [3, 5, 8, 12, 20, MAX_DEPTH_UNLIMITED], "minInstancesPerNode": [1, 2, 5, 10],
            SPLIT: [2, 5, 10, 20]}
 RF_GRID = {"numTrees": [100, 200], "maxDepth": [MAX_DEPTH_UNLIMITED, 10, 20],
-           "minInstancesPerNode": [1, 2, 5]}
+           SPLIT: [2, 5, 10], "minInstancesPerNode": [1, 2, 5]}
 GBT_GRID = {"maxIter": [200, 500], "maxDepth": [3, 5, 8], "stepSize": [0.01, 0.05, 0.1],
             "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.8", "all"]}
 CV_FOLDS = 5
 ROWS_PER_FIT_PARTITION = 25_000
 
+#: Dimensions of a grid that are scored by cutting one fitted model.
+CUTS = {"decision_tree": ("maxDepth", SPLIT), "random_forest": ("numTrees", "maxDepth", SPLIT), "xgboost": ("maxIter",)}
+TREES = {"random_forest": "numTrees", "xgboost": "maxIter"}
+
 MODEL_KINDS = ["linear_regression", "decision_tree", "random_forest", "xgboost"]
 TREE_KINDS = {"decision_tree", "random_forest", "xgboost"}
+DRAWS = {"random_forest", "xgboost"}  # learners that draw rows per partition
 SCALED_KINDS = {"linear_regression", "spark_linear", "mlp"}
 
 
@@ -82,17 +87,21 @@ def fit(spec: FeatureSpec, kind: str, train: DataFrame, **params) -> PipelineMod
     """Fit preparation + regressor; the labelled training rows are built once
     and kept for the fit's passes (preparation statistics, the learner's
     own first passes), then released."""
-    with passes_over(fit_rows(spec, train)) as rows:
+    rows = fit_rows(spec, train) if kind in DRAWS else labelled_rows(spec, train)
+    with passes_over(rows) as rows:
         return build_pipeline(spec, kind, **params).fit(rows)
 
 
+def labelled_rows(spec: FeatureSpec, train: DataFrame, keep: list[str] = ()) -> DataFrame:
+    return train.filter(F.col(spec.target).isNotNull()).select(*[f"`{c}`" for c in [*spec.features, spec.target, *keep]])
+
+
 def fit_rows(spec: FeatureSpec, train: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Labelled training rows, dealt and ordered by a hash of their values into
     as many partitions as their number asks for. Learners that draw rows per
     partition (bagging, subsampling) then give the same model whatever the
     input's partitions or the cluster's size."""
-    rows = train.filter(F.col(spec.target).isNotNull()).select(
-        *[f"`{c}`" for c in [*spec.features, spec.target, *keep]])
+    rows = labelled_rows(spec, train, keep)
     parts = max(1, -(-rows.count() // ROWS_PER_FIT_PARTITION))
     digest = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
     return (rows.withColumn("_digest", digest).repartition(parts, "_digest")
@@ -128,21 +137,31 @@ def cross_validate(spec: FeatureSpec, kind: str, train: DataFrame, grid: dict[st
     pipe = build_pipeline(spec, kind)
     prep, reg = pipe.getStages()
     with passes_over(fit_rows(spec, train, [fold_col])) as labelled:
-        if SPLIT in grid:
-            return _cross_validate_tree(spec, pipe, prep, reg, grid, labelled, fold_col, parallelism, folds)
+        if kind in CUTS:
+            return _cross_validate_cut(spec, kind, pipe, prep, reg, grid, labelled, fold_col, parallelism, folds)
         maps = param_grid(reg, grid)
         return _cross_validate(spec, pipe, prep, reg, maps, labelled, fold_col, parallelism, folds)
 
 
-def _cross_validate_tree(spec, pipe, prep, reg, grid, labelled, fold_col, parallelism, folds):
-    """The grid of a single tree: one fit per fold and leaf size, all depths and
-    split minimums from the fitted tree."""
+def grid_points(grid: dict[str, list]) -> list[dict]:
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
+
+
+def _cross_validate_cut(spec, kind, pipe, prep, reg, grid, labelled, fold_col, parallelism, folds):
+    """The grid of a tree model: one fit per fold and point of the dimensions that
+    change how trees grow; numbers of trees, depths and split minimums (CUTS) are
+    scored by cutting the model that was grown at their largest."""
     from ridgeline.operators.explain import ensemble
-    from ridgeline.operators.tree_grid import squared_errors
+    from ridgeline.operators.tree_grid import grid_errors
 
     spark = labelled.sparkSession
-    depths, leaves, splits = grid["maxDepth"], grid["minInstancesPerNode"], grid[SPLIT]
-    points = [{"maxDepth": d, "minInstancesPerNode": n, SPLIT: s} for d in depths for n in leaves for s in splits]
+    cut = [n for n in CUTS[kind] if n in grid]
+    rest = {n: v for n, v in grid.items() if n not in cut}
+    counts = grid.get(TREES.get(kind), None) if TREES.get(kind) in cut else None
+    depths = grid["maxDepth"] if "maxDepth" in cut else [MAX_DEPTH_UNLIMITED]
+    splits = grid.get(SPLIT, [0])
+    grown = {n: max(grid[n]) for n in cut if n != SPLIT}
+    points, ways = grid_points(grid), grid_points(rest)
     fold_metrics = []
     for f in range(folds):
         tr = labelled.filter(F.col(fold_col) != f)
@@ -150,20 +169,34 @@ def _cross_validate_tree(spec, pipe, prep, reg, grid, labelled, fold_col, parall
         tr_x = prep_model.transform(tr).select("features", spec.target).persist(StorageLevel.MEMORY_AND_DISK)
         va_x = prep_model.transform(labelled.filter(F.col(fold_col) == f)).select("features", spec.target)
 
-        def score(n: int, tr_x=tr_x, va_x=va_x) -> np.ndarray:
-            model = reg.fit(tr_x, {reg.maxDepth: max(depths), reg.minInstancesPerNode: n})
-            return squared_errors(ensemble(spark, model)[0], va_x, spec.target, depths, splits)
+        def score(way: dict, tr_x=tr_x, va_x=va_x) -> np.ndarray:
+            trees = ensemble(spark, reg.fit(tr_x, {reg.getParam(k): v for k, v in {**grown, **way}.items()}))
+            return grid_errors(trees, kind != "xgboost", va_x, spec.target, counts or [len(trees)], depths, splits)
 
         with ThreadPool(parallelism) as pool:
-            by_leaf = pool.map(inheritable_thread_target(score), leaves)
+            by_way = pool.map(inheritable_thread_target(score), ways)
         tr_x.unpersist()
-        fold_metrics.append([float(by_leaf[leaves.index(p["minInstancesPerNode"])][
-            depths.index(p["maxDepth"]), splits.index(p[SPLIT])]) for p in points])
+
+        def at(p: dict) -> float:
+            errors = by_way[ways.index({n: p[n] for n in rest})]
+            return float(errors[counts.index(p[TREES[kind]]) if counts else 0,
+                                depths.index(p["maxDepth"]) if "maxDepth" in cut else 0, splits.index(p[SPLIT]) if SPLIT in p else 0])
+
+        fold_metrics.append([at(p) for p in points])
     avg = [float(np.mean([fm[i] for fm in fold_metrics])) for i in range(len(points))]
     best = min(range(len(points)), key=lambda i: (avg[i], i))
-    # the refit obeys depth and leaf size; Spark's learner has no split minimum
-    refit = {reg.getParam(k): v for k, v in points[best].items() if k != SPLIT}
-    return CVResult(avg, fold_metrics, best, pipe.copy(refit).fit(labelled)), points
+    return CVResult(avg, fold_metrics, best, refit(pipe, reg, labelled, points[best])), points
+
+
+def refit(pipe: Pipeline, reg, labelled: DataFrame, point: dict) -> PipelineModel:
+    """The pipeline fitted at a grid point. Spark's learners have no split minimum,
+    so the fitted model's nodes below it are cut."""
+    from ridgeline.operators.tree_grid import cut_model
+
+    model = pipe.copy({reg.getParam(k): v for k, v in point.items() if k != SPLIT}).fit(labelled)
+    if point.get(SPLIT, 0) <= 2:  # a node of one row is a leaf anyway
+        return model
+    return PipelineModel(stages=[model.stages[0], cut_model(labelled.sparkSession, model.stages[-1], point[SPLIT])])
 
 
 def _cross_validate(spec, pipe, prep, reg, maps, labelled, fold_col, parallelism, folds):
@@ -226,5 +259,23 @@ def predict(model: PipelineModel, df: DataFrame, key: str, label: str | None = N
     return out.select(*cols)
 
 
+def predict_all(models: dict[str, PipelineModel], df: DataFrame, key: str, label: str) -> DataFrame:
+    """M11 for several models in one scan: (model, key, y, p), a row per model and
+    row of ``df``. The vectors are prepared once per variant (scaled or not; models
+    of a variant share their preparation) and every model adds one column."""
+    out, variants, columns = df, {}, []
+    for name, model in models.items():
+        prep, last = model.stages[0], model.stages[-1]
+        variant = str(sorted((p.name, str(v)) for p, v in prep.extractParamMap().items()))
+        if variant not in variants:
+            variants[variant] = f"_x{len(variants)}"
+            out = prep.transform(out).withColumnRenamed(prep.getOrDefault("outputCol"), variants[variant])
+        score = last.copy({last.getParam("featuresCol"): variants[variant], last.getParam("predictionCol"): f"_p{len(columns)}"})
+        out = score.transform(out)
+        columns.append(F.struct(F.lit(name).alias("model"), F.col(f"_p{len(columns)}").alias("p")))
+    return (out.select(F.col(key), F.col(label).cast("double").alias("y"), F.explode(F.array(*columns)).alias("m"))
+            .select("m.model", key, "y", "m.p"))
+
+
 def feature_names(model: PipelineModel) -> list[str]:
     return model.stages[0].feature_names()

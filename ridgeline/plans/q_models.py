@@ -50,6 +50,8 @@ def stored_model(spark, kind, spec, train, fit):
 
 def trained(spark, sf_dir, kind):
     mt, spec, train, test = mt_split(spark, sf_dir)
+    if kind not in M.DRAWS:  # one pass or a few: cheaper than a digest of the rows
+        return M.fit(spec, kind, train, **QUERY_PARAMS[kind]), spec, train, test
     model = stored_model(spark, kind, spec, train, lambda: M.fit(spec, kind, train, **QUERY_PARAMS[kind]))
     return model, spec, train, test
 
@@ -79,14 +81,59 @@ def m4_boosted_trees(spark, sf_dir):
     return _predictions(spark, sf_dir, "xgboost")
 
 
+# ------------------------------------------------------------------ neural network
+
+MLP_EPOCHS = 100
+MLP_PATIENCE = 10
+
+
+def trained_mlp(spark, sf_dir, max_epochs=MLP_EPOCHS):
+    """M5 / M6: scaled preparation (fitted on all training rows) + the
+    averaged-SGD network, with 20 % of the training rows (T4 hash) held out for
+    early stopping."""
+    from pyspark.ml import Pipeline
+
+    from ridgeline.operators.mlp import MLPRegressor
+    from ridgeline.operators.prepare import TabularPrep
+    from ridgeline.operators.split import validation_flag
+
+    mt, spec, train, test = mt_split(spark, sf_dir)
+    train = train.withColumn("is_val", validation_flag("rk"))
+    prep = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical), scale=True)
+    net = MLPRegressor(labelCol=spec.target, validationCol="is_val", keyCol="rk",
+                       maxEpochs=max_epochs, patience=MLP_PATIENCE)
+
+    def fit():
+        prep_model = prep.fit(train)
+        return PipelineModel(stages=[prep_model, net.fit(prep_model.transform(train))])
+
+    return stored_model(spark, "mlp", spec, train, fit), spec, train, test
+
+
+@query("m5_mlp_predictions")
+def m5_mlp_predictions(spark, sf_dir):
+    model, spec, train, test = trained_mlp(spark, sf_dir)
+    return M.predict(model, test, "rk")
+
+
+@query("m7_mlp_history")
+def m7_mlp_history(spark, sf_dir):
+    """M6 / M7: per-epoch loss, mae, val_loss, val_mae (early stopping)."""
+    from ridgeline.operators.mlp import history_table
+
+    model, spec, train, test = trained_mlp(spark, sf_dir)
+    return history_table(spark, model.stages[-1].history)
+
+
+# ------------------------------------------------------------------ all models
+
 def model_predictions(spark, sf_dir, kinds=None):
-    """Long (model, rk, y, p) for every trained model on the test rows."""
-    out = None
+    """Long (model, rk, y, p) for every trained model on the test rows, in one
+    scan of them."""
+    models = {}
     for kind in kinds or [*M.MODEL_KINDS, "mlp"]:
-        model, spec, train, test = trained_mlp(spark, sf_dir) if kind == "mlp" else trained(spark, sf_dir, kind)
-        p = M.predict(model, test, "rk", label=spec.target, name=kind)
-        out = p if out is None else out.unionByName(p)
-    return out
+        models[kind], spec, train, test = trained_mlp(spark, sf_dir) if kind == "mlp" else trained(spark, sf_dir, kind)
+    return M.predict_all(models, test, "rk", spec.target)
 
 
 @query("m11_model_predictions")
@@ -139,47 +186,3 @@ def s10_model_roundtrip(spark, sf_dir):
     a = M.predict(model, test, "rk").withColumnRenamed("prediction", "p_saved")
     b = M.predict(loaded, test, "rk").withColumnRenamed("prediction", "p_loaded")
     return a.join(b, "rk")
-
-
-# ------------------------------------------------------------------ neural network
-
-MLP_EPOCHS = 100
-MLP_PATIENCE = 10
-
-
-def trained_mlp(spark, sf_dir, max_epochs=MLP_EPOCHS):
-    """M5 / M6: scaled preparation (fitted on all training rows) + the
-    averaged-SGD network, with 20 % of the training rows (T4 hash) held out for
-    early stopping."""
-    from pyspark.ml import Pipeline
-
-    from ridgeline.operators.mlp import MLPRegressor
-    from ridgeline.operators.prepare import TabularPrep
-    from ridgeline.operators.split import validation_flag
-
-    mt, spec, train, test = mt_split(spark, sf_dir)
-    train = train.withColumn("is_val", validation_flag("rk"))
-    prep = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical), scale=True)
-    net = MLPRegressor(labelCol=spec.target, validationCol="is_val", keyCol="rk",
-                       maxEpochs=max_epochs, patience=MLP_PATIENCE)
-
-    def fit():
-        prep_model = prep.fit(train)
-        return PipelineModel(stages=[prep_model, net.fit(prep_model.transform(train))])
-
-    return stored_model(spark, "mlp", spec, train, fit), spec, train, test
-
-
-@query("m5_mlp_predictions")
-def m5_mlp_predictions(spark, sf_dir):
-    model, spec, train, test = trained_mlp(spark, sf_dir)
-    return M.predict(model, test, "rk")
-
-
-@query("m7_mlp_history")
-def m7_mlp_history(spark, sf_dir):
-    """M6 / M7: per-epoch loss, mae, val_loss, val_mae (early stopping)."""
-    from ridgeline.operators.mlp import history_table
-
-    model, spec, train, test = trained_mlp(spark, sf_dir)
-    return history_table(spark, model.stages[-1].history)

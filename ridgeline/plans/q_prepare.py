@@ -179,8 +179,7 @@ def f8_feature_names(spark, sf_dir):
     for i, x in enumerate(NUM)), round_cols=["min", "max", "median", "mean", "std"])
 def a8_feature_ranges(spark, sf_dir):
     model, train, test = _prep(spark, sf_dir, scale=False, categorical=False)
-    medians = {x: s["median"] for x, s in model.stats["numeric"].items()}
-    return P.feature_ranges(impute_numeric(train.select(*NUM), medians), NUM)
+    return P.fitted_ranges(spark, model.stats, NUM)
 
 
 @query("a9_feature_defaults", sql=W(O.MT, STATS) + " UNION ALL ".join(
@@ -188,5 +187,4 @@ def a8_feature_ranges(spark, sf_dir):
     for i, x in enumerate(NUM)), round_cols=['"default"'])
 def a9_feature_defaults(spark, sf_dir):
     model, train, test = _prep(spark, sf_dir, scale=False, categorical=False)
-    medians = {x: s["median"] for x, s in model.stats["numeric"].items()}
-    return P.feature_defaults(P.feature_ranges(impute_numeric(train.select(*NUM), medians), NUM))
+    return P.feature_defaults(P.fitted_ranges(spark, model.stats, NUM))

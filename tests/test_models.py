@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -98,3 +99,66 @@ def test_tree_grid_equals_separate_fits(spark):
     assert by[4] != full[4]  # the split minimum cuts the deeper tree
     params = {r["param"] for r in M.best_params_table(spark, cvm, points, "decision_tree").collect()}
     assert params == {"maxDepth", "minInstancesPerNode", M.SPLIT}
+
+
+def _separate(spec, kind, rows, folds=5, **params):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    ev = RegressionEvaluator(labelCol=spec.target, metricName="rmse")
+    return np.mean([ev.evaluate(M.build_pipeline(spec, kind, **params).fit(rows.filter(F.col("fold") != k))
+                                .transform(rows.filter(F.col("fold") == k))) for k in range(folds)])
+
+
+def test_boosting_grid_equals_separate_fits(spark):
+    mt, spec, train, test = _mt(spark)
+    train = train.withColumn("fold", fold_column("rk").cast("int") % 2)
+    grid = {"maxIter": [2, 5], "maxDepth": [2], "stepSize": [0.1, 0.3], "subsamplingRate": [0.8], "featureSubsetStrategy": ["all"]}
+    cvm, points = M.cross_validate(spec, "xgboost", train, grid, parallelism=2, folds=2)
+    assert len(points) == 4 and len(M.grid_points(M.GBT_GRID)) == 72
+    rows = M.fit_rows(spec, train, ["fold"])
+    for i, p in enumerate(points):
+        if p["stepSize"] == 0.3:
+            assert abs(cvm.avgMetrics[i] - _separate(spec, "xgboost", rows, 2, **p)) < 1e-9
+    got = cvm.bestModel.stages[-1]
+    assert got.getNumTrees == points[cvm.bestIndex]["maxIter"]
+
+
+def test_forest_grid_and_refit(spark):
+    from ridgeline.operators.explain import ensemble
+    from ridgeline.operators.tree_grid import cut_model, prefix_errors, truncated_predictions
+
+    mt, spec, train, test = _mt(spark)
+    train = train.withColumn("fold", fold_column("rk").cast("int") % 2)
+    grid = {"numTrees": [2, 4], "maxDepth": [3, 6], M.SPLIT: [2, 400], "minInstancesPerNode": [5]}
+    cvm, points = M.cross_validate(spec, "random_forest", train, grid, parallelism=2, folds=2)
+    assert len(points) == 8 and len(M.grid_points(M.RF_GRID)) == 54
+    rows = M.fit_rows(spec, train, ["fold"])
+    i = points.index({"numTrees": 4, "maxDepth": 3, M.SPLIT: 2, "minInstancesPerNode": 5})
+    assert abs(cvm.avgMetrics[i] - _separate(spec, "random_forest", rows, 2, numTrees=4, maxDepth=3, minInstancesPerNode=5)) < 1e-9
+    # a cut model predicts what the truncated walk says, and survives saving
+    for kind, params in (("random_forest", {"numTrees": 3, "maxDepth": 5}), ("decision_tree", {"maxDepth": 6})):
+        model = M.build_pipeline(spec, kind, **params).fit(rows)
+        x = model.stages[0].transform(test).select("features", spec.target).limit(300)
+        cut = cut_model(spark, model.stages[-1], 300)
+        got = np.array([r.prediction for r in cut.transform(x).collect()])
+        X, y = (np.array(v) for v in zip(*[(r[0].toArray(), float(r[1])) for r in x.collect()]))
+        trees = ensemble(spark, model.stages[-1])
+        want = np.mean([truncated_predictions(t, X, [30], [300])[0, 0] for t in trees], axis=0)
+        assert np.abs(got - want).max() < 1e-9
+        assert abs(prefix_errors(trees, True, X, y, [len(trees)], [30], [300])[0, 0, 0] - ((want - y) ** 2).sum()) < 1e-6 * ((want - y) ** 2).sum()
+        assert cut.totalNumNodes < model.stages[-1].totalNumNodes if kind == "random_forest" else cut.numNodes < model.stages[-1].numNodes
+    best = M.refit(M.build_pipeline(spec, "decision_tree"), M.build_pipeline(spec, "decision_tree").getStages()[-1], rows,
+                   {"maxDepth": 4, "minInstancesPerNode": 5, M.SPLIT: 200}).stages[-1]
+    assert all(t.cover[t.left >= 0].min() >= 200 for t in ensemble(spark, best))
+
+
+def test_predictions_of_all_models_in_one_scan(spark):
+    mt, spec, train, test = _mt(spark)
+    models = {"linear_regression": M.fit(spec, "linear_regression", train), "decision_tree": M.fit(spec, "decision_tree", train, maxDepth=3),
+              "xgboost": M.fit(spec, "xgboost", train, maxIter=3, maxDepth=2)}
+    got = M.predict_all(models, test, "rk", spec.target)
+    assert got._jdf.queryExecution().toString().count("Scan parquet") <= 3 * test._jdf.queryExecution().toString().count("Scan parquet")
+    got = {(r.model, r.rk): (r.y, r.p) for r in got.collect()}
+    for name, model in models.items():
+        for r in M.predict(model, test, "rk", label=spec.target, name=name).collect():
+            assert got[name, r.rk] == pytest.approx((r.y, r.p), rel=1e-12)
+    assert len(got) == 3 * test.count()
