@@ -92,6 +92,26 @@ def fit(spec: FeatureSpec, kind: str, train: DataFrame, **params) -> PipelineMod
         return build_pipeline(spec, kind, **params).fit(rows)
 
 
+def fit_early_stopped(spec: FeatureSpec, train: DataFrame, val_col: str, **params) -> PipelineModel:
+    """M6 for boosting: trees are grown on the rows where ``val_col`` is false, until
+    a round improves the squared error on the others by less than ``validationTol``
+    (a share of it); the trees up to the best round are kept."""
+    with passes_over(fit_rows(spec, train, [val_col])) as rows:
+        prep, boosting = build_pipeline(spec, "xgboost", **params).getStages()
+        return Pipeline(stages=[prep, boosting.setValidationIndicatorCol(val_col)]).fit(rows)
+
+
+def boosting_curve(spec: FeatureSpec, model: PipelineModel, rows: DataFrame) -> list[float]:
+    """RMSE on ``rows`` after each round of a boosted model, all rounds in one scan."""
+    from ridgeline.operators.explain import ensemble
+    from ridgeline.operators.tree_grid import grid_errors
+
+    trees = ensemble(rows.sparkSession, model.stages[-1])
+    vectors = model.stages[0].transform(labelled_rows(spec, rows)).select("features", spec.target)
+    errors = grid_errors(trees, False, vectors, spec.target, list(range(1, len(trees) + 1)), [MAX_DEPTH_UNLIMITED], [0])
+    return [float(e) for e in errors[:, 0, 0]]
+
+
 def labelled_rows(spec: FeatureSpec, train: DataFrame, keep: list[str] = ()) -> DataFrame:
     return train.filter(F.col(spec.target).isNotNull()).select(*[f"`{c}`" for c in [*spec.features, spec.target, *keep]])
 

@@ -16,6 +16,8 @@ Scale notes
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +25,7 @@ from pyspark.sql.window import Window
 from ridgeline.functions.cache import passes_over
 from ridgeline.functions.exprs import null_count, safe_corr
 from ridgeline.operators.quantiles import exact_quantiles
+from ridgeline.session import scratch_path
 from ridgeline.spec import FeatureSpec
 
 
@@ -214,23 +217,54 @@ def category_values(df: DataFrame, columns: list[str]) -> DataFrame:
     no single task ever collects a whole column."""
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, value string, value_rank bigint")
-    d = _long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy("value")
-    return d.select("column", "value", F.row_number().over(w).cast("long").alias("value_rank"))
+    counts = _long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return ranked_values(counts).select("column", "value", "value_rank")
+
+
+def ranked_values(counts: DataFrame) -> DataFrame:
+    """``counts`` (column, value, ...; a row per distinct value) with ``value_rank``,
+    the place (from 1) of a value among its column's, in sorted order.
+
+    Values are sorted by range partitions, so a column with many values is spread
+    over many tasks, and a row's place in its partition is added to the number of
+    rows of its column in the partitions before. These numbers are one small row
+    per column and partition. Range bounds are sampled, and another run may sample
+    others: the sorted rows are written to the shared folder and read back."""
+    spark = counts.sparkSession
+    path = scratch_path(spark, f"ranks/{uuid.uuid4().hex}")
+    (counts.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
+     .withColumn("_at", F.monotonically_increasing_id()).write.parquet(path))
+    # the id holds the partition above 33 bits and the place in it below
+    placed = (spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+              .withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))))
+    parts = (placed.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
+             .orderBy("column", "_part").collect())
+    rows, before, last = [], 0, None
+    for r in parts:
+        before = 0 if r["column"] != last else before
+        rows.append((r["column"], r["_part"], before - r["first"] + 1))
+        before, last = before + r["n"], r["column"]
+    shift = spark.createDataFrame(rows, "column string, _part long, _shift long")
+    return (placed.join(F.broadcast(shift), ["column", "_part"])
+            .withColumn("value_rank", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift"))
 
 
 def modes(df: DataFrame, columns: list[str]) -> DataFrame:
     """Most frequent non-null value per column, ties -> smallest value.
 
-    Counts per (column, value) are a grouped aggregation (map-side combine);
-    the ranking window then runs over one row per distinct value only."""
+    Counts per (column, value) and then the best of each column are grouped
+    aggregations with map-side combine: a task sends one row per column."""
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, mode string, count bigint")
-    counts = _long_values(df, columns).groupBy("column", "value").agg(
-        F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("column").orderBy(F.col("count").desc(), F.col("value"))
-    return (counts.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1).select("column", F.col("value").alias("mode"), "count"))
+    counts = _long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return best_values(counts)
+
+
+def best_values(counts: DataFrame) -> DataFrame:
+    """(column, mode, count) of ``counts`` (column, value, n)."""
+    best = F.min(F.struct((-F.col("n")).alias("less"), F.col("value")))
+    return (counts.groupBy("column").agg(best.alias("best"))
+            .select("column", F.col("best.value").alias("mode"), (-F.col("best.less")).alias("count")))
 
 
 # ---------------------------------------------------------------- A10 / A11 / K1 / K2

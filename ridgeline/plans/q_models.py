@@ -175,6 +175,24 @@ def m7_boosting_history(spark, sf_dir):
                                  "iteration int, rmse double")
 
 
+# fewer, larger steps than the published boosting: the search for the number of rounds
+EARLY_STOP_PARAMS = {"maxIter": 200, "maxDepth": 3, "stepSize": 0.1, "validationTol": 0.01}
+
+
+@query("m6_boosting_early_stop")
+def m6_boosting_early_stop(spark, sf_dir):
+    """M6 for boosting: RMSE on the held-out training rows (T4 hash) after each of the
+    rounds kept; ``best`` marks the one with the least."""
+    from ridgeline.operators.split import validation_flag
+
+    mt, spec, train, test = mt_split(spark, sf_dir)
+    train = train.withColumn("is_val", validation_flag("rk"))
+    model = M.fit_early_stopped(spec, train, "is_val", **EARLY_STOP_PARAMS)
+    curve = M.boosting_curve(spec, model, train.filter("is_val"))
+    least = min(range(len(curve)), key=curve.__getitem__)
+    return spark.createDataFrame([(i + 1, e, i == least) for i, e in enumerate(curve)], "iteration int, val_rmse double, best boolean")
+
+
 @query("s10_model_roundtrip")
 def s10_model_roundtrip(spark, sf_dir):
     """Save a fitted pipeline, load it back, predict with both."""
