@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ridgeline.functions.exprs import hash32
 from ridgeline.operators import profile as P
 from ridgeline.operators import split as S
+from ridgeline.operators.dictionary import DictionaryPrep
 from ridgeline.operators.prepare import TabularPrep, impute_numeric
 from ridgeline.plans import oracle_fixtures as O
 from ridgeline.plans.registry import query
 from ridgeline.sources.fixtures import modelling_table, mt_spec
+from ridgeline.sources.tables import read_table
 
 NUM, CAT = O.MT_NUMERIC, O.MT_CATEGORICAL
 
@@ -188,3 +191,28 @@ def a8_feature_ranges(spark, sf_dir):
 def a9_feature_defaults(spark, sf_dir):
     model, train, test = _prep(spark, sf_dir, scale=False, categorical=False)
     return P.feature_defaults(P.fitted_ranges(spark, model.stats, NUM))
+
+
+# ------------------------------------------------------------------- categories as a table
+
+@query("f4_dictionary_one_hot", sql=f"""
+WITH o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, o_orderpriority AS prio,
+                  {O.h32('42', 'CAST(o_orderkey AS VARCHAR)')} % 10000 >= 2000 AS is_train FROM orders),
+c AS (SELECT cust, row_number() OVER (ORDER BY cust) AS at, n, row_number() OVER (ORDER BY n DESC, cust) AS best
+      FROM (SELECT cust, count(*) AS n FROM o WHERE is_train AND cust IS NOT NULL GROUP BY cust)),
+p AS (SELECT prio, row_number() OVER (ORDER BY prio) + (SELECT count(*) FROM c) AS at, row_number() OVER (ORDER BY n DESC, prio) AS best
+      FROM (SELECT prio, count(*) AS n FROM o WHERE is_train AND prio IS NOT NULL GROUP BY prio))
+SELECT o_orderkey, is_train, CAST(1 + (SELECT count(*) FROM c) + (SELECT count(*) FROM p) AS INTEGER) AS size,
+       concat_ws(',', '0', c.at, p.at) AS positions
+FROM o LEFT JOIN c ON coalesce(o.cust, (SELECT cust FROM c WHERE best = 1)) = c.cust
+       LEFT JOIN p ON coalesce(o.prio, (SELECT prio FROM p WHERE best = 1)) = p.prio""")
+def f4_dictionary_one_hot(spark, sf_dir):
+    """F2 / F4 / F7 with a category per customer: width and set positions of the
+    sparse vector of every order, training and test rows, fitted on the former."""
+    orders = read_table(spark, sf_dir, "orders", balance=True)
+    rows = orders.select("o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority",
+                         (hash32("42", "o_orderkey") % 10000 >= 2000).alias("is_train"))
+    model = DictionaryPrep(numericCols=["o_totalprice"], categoricalCols=["o_custkey", "o_orderpriority"]).fit(rows.where("is_train"))
+    out = model.transform(rows).withColumn("v", F.unwrap_udt("features"))
+    return out.select("o_orderkey", "is_train", F.col("v.size").alias("size"),
+                      F.array_join(F.col("v.indices").cast("array<string>"), ",").alias("positions"))

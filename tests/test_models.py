@@ -162,3 +162,27 @@ def test_predictions_of_all_models_in_one_scan(spark):
         for r in M.predict(model, test, "rk", label=spec.target, name=name).collect():
             assert got[name, r.rk] == pytest.approx((r.y, r.p), rel=1e-12)
     assert len(got) == 3 * test.count()
+
+
+def test_boosting_stops_where_the_held_out_rows_say(spark):
+    from ridgeline.operators.split import validation_flag
+    mt, spec, train, test = _mt(spark)
+    train = train.withColumn("is_val", validation_flag("rk"))
+    params = {"maxDepth": 3, "stepSize": 0.3}
+    model = M.fit_early_stopped(spec, train, "is_val", maxIter=40, validationTol=0.0, **params)
+    kept = model.stages[-1].getNumTrees
+    assert 1 < kept < 40
+    curve = M.boosting_curve(spec, model, train.filter("is_val"))
+    assert len(curve) == kept and curve[-1] == min(curve)
+    # the held-out rows decide when to stop and nothing else: the same rounds grown without them
+    rows = M.fit_rows(spec, train, ["is_val"])
+    prep, boosting = M.build_pipeline(spec, "xgboost", maxIter=kept, **params).getStages()
+    vectors = prep.fit(rows).transform(rows)
+    plain = boosting.fit(vectors.filter("not is_val"))
+    a = model.transform(test).agg(F.sum("prediction")).first()[0]
+    b = plain.transform(model.stages[0].transform(test)).agg(F.sum("prediction")).first()[0]
+    assert abs(a - b) < 1e-6 * abs(a)
+    assert abs(curve[-1] - plain.transform(vectors.filter("is_val")).agg(
+        F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(spec.target), 2)))).first()[0]) < 1e-6 * curve[-1]
+    again = M.fit_early_stopped(spec, train.repartition(7), "is_val", maxIter=40, validationTol=0.0, **params)
+    assert again.stages[-1].getNumTrees == kept
