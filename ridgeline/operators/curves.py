@@ -10,20 +10,21 @@ Scale notes
   values' offsets t from its centre (a grouped aggregate), and the kernel is
   expanded in them: exp(-(z - t)^2 / 2) = exp(-z^2 / 2) sum He_j(z) t^j / j!.
   With |t| <= 1/16 eight terms give about ten digits. Work on the data is O(n).
-* Per-category parameters (one row per category) travel as literal maps, so
-  rows are aggregated where they lie and never shuffled by category.
+* Per-category parameters are a table beside the rows: broadcast if its measured
+  size allows, else joined (``operators.grouped``). Categories may be many.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.cache import passes_over
-from ridgeline.functions.exprs import literal_map
-from ridgeline.operators.quantiles import exact_quantiles, exact_quantiles_by
+from ridgeline.operators.grouped import grouped_quantiles, with_parameters, written
+from ridgeline.operators.quantiles import exact_quantiles
 
 SQRT_2PI = math.sqrt(2 * math.pi)
 
@@ -60,58 +61,62 @@ TERMS = 9
 REACH = 38.0  # bandwidths beyond which a double's kernel value is zero
 
 
-def _cells(d: DataFrame, by: list[str], v: Column, lo: Column, h: Column) -> DataFrame:
-    """(by, cell, m0..m8): power sums of (v - centre) / h per cell of width h / 8."""
-    cell = F.floor((v - lo) / (h / CELLS_PER_BANDWIDTH)).cast("long")
-    t = (v - lo) / h - (F.col("cell") + 0.5) / CELLS_PER_BANDWIDTH
-    d = d.withColumn("cell", cell).withColumn("t", t)
-    sums = [F.count(F.lit(1)).cast("double").alias("m0"), F.sum("t").alias("m1")]
-    power = F.col("t")
-    for j in range(2, TERMS):
-        power = power * F.col("t")
-        sums.append(F.sum(power).alias(f"m{j}"))
-    return d.groupBy(*by, "cell").agg(*sums)
+# row j: coefficients of the j-th Hermite polynomial (probabilists') over j!
+HERMITE = [np.polynomial.hermite_e.herme2poly([0] * j + [1]) / math.factorial(j) for j in range(TERMS)]
 
 
-def _kernel(z: Column) -> Column:
-    """Sum of the kernel over a cell's values, from its power sums."""
-    he = [F.lit(1.0), z]
-    for j in range(2, TERMS):
-        he.append(z * he[j - 1] - (j - 1) * he[j - 2])
-    total = F.col("m0")
+def _cells(d: DataFrame) -> DataFrame:
+    """d (g, y, lo, h, start, step) -> a row per cell of width h / 8: the same, its
+    centre, and a0..a8, the polynomial in z whose product with exp(-z^2 / 2) is the sum
+    of the kernel over the cell's values, from their power sums."""
+    cell = F.floor((F.col("y") - F.col("lo")) / (F.col("h") / CELLS_PER_BANDWIDTH)).cast("long")
+    t = (F.col("y") - F.col("lo")) / F.col("h") - (F.col("cell") + 0.5) / CELLS_PER_BANDWIDTH
+    sums, power = [F.count(F.lit(1)).cast("double").alias("m0")], F.lit(1.0)
     for j in range(1, TERMS):
-        total = total + he[j] * F.col(f"m{j}") / math.factorial(j)
-    return F.exp(-0.5 * z * z) * total
-
-
-def _densities(d: DataFrame, params: dict[str, tuple], grid: int, cut: float) -> DataFrame:
+        power = power * F.col("t")
+        sums.append(F.sum(power).alias(f"m{j}"))
+    params = ["g", "lo", "h", "start", "step"]
+    cells = d.withColumn("cell", cell).withColumn("t", t).groupBy(*params, "cell").agg(*sums)
+    terms = []
+    for i in range(TERMS):
+        a = F.lit(0.0)
+        for j in range(i, TERMS):
+            if HERMITE[j][i]:
+                a = a + F.lit(float(HERMITE[j][i])) * F.col(f"m{j}")
+        terms.append(a.alias(f"a{i}"))
+    centre = F.col("lo") + (F.col("cell") + 0.5) * (F.col("h") / CELLS_PER_BANDWIDTH)
+    return cells.select(*params, centre.alias("centre"), *terms)
+
+
+def _densities(d: DataFrame, params: DataFrame, grid: int, cut: float) -> DataFrame:
     """d (g, y) -> (g, k, x, density): Gaussian KDE of every group on ``grid``
-    points of [lo - cut * h, hi + cut * h]. ``params``: group -> (n, lo, hi, h);
-    NULL density where the bandwidth h is zero or undefined."""
-    spark = d.sparkSession
-    g, k = F.col("g"), F.col("k")
-    ok = {x: p for x, p in params.items() if p[3]}
-    n, lo, hi, h = (literal_map(g, {x: p[i] for x, p in ok.items()}) for i in range(4))
-    cells = _cells(d.filter(h.isNotNull()), ["g"], F.col("y"), lo, h)
-    start = lo - h * cut
-    step = (hi - lo + h * (2 * cut)) / (grid - 1)
-    centre = lo + (F.col("cell") + 0.5) * (h / CELLS_PER_BANDWIDTH)
-    first = F.greatest(F.lit(0), F.ceil((centre - h * REACH - start) / step)).cast("long")
-    last = F.least(F.lit(grid - 1), F.floor((centre + h * REACH - start) / step)).cast("long")
-    pts = cells.filter(first <= last).withColumn("k", F.explode(F.sequence(first, last)))
-    sums = pts.groupBy("g", "k").agg(F.sum(_kernel((start + k * step - centre) / h)).alias("s"))
-    axis = spark.createDataFrame([(x, float(p[1]), float(p[2]), float(p[3] or 0.0)) for x, p in params.items()],
-                                 "g string, lo double, hi double, h double")
-    x = F.col("lo") - F.col("h") * cut + k * ((F.col("hi") - F.col("lo") + F.col("h") * (2 * cut)) / (grid - 1))
-    axis = (axis.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))))
-            .select("g", "k", x.alias("x")))
-    # sums has at most one row per grid point of a group
+    points of [lo - cut * h, hi + cut * h]. ``params``: g, n, lo, hi, h; NULL density
+    where the bandwidth h is zero or undefined."""
+    h, k = F.coalesce(F.col("h"), F.lit(0.0)), F.col("k")
+    start = F.col("lo") - h * cut
+    params = written(params.withColumns({"start": start, "step": (F.col("hi") - F.col("lo") + h * (2 * cut)) / (grid - 1)}),
+                     "densities")
+    cells = _cells(with_parameters(d, params.where("h is not null"), "g"))
+    edge = [(F.col("centre") + side * F.col("h") * REACH - F.col("start")) / F.col("step") for side in (-1, 1)]
+    first = F.greatest(F.lit(0), F.ceil(edge[0])).cast("long")
+    last = F.least(F.lit(grid - 1), F.floor(edge[1])).cast("long")
+    pts = (cells.filter(first <= last).withColumn("k", F.explode(F.sequence(first, last)))
+           .withColumn("z", (F.col("start") + k * F.col("step") - F.col("centre")) / F.col("h")))
+    z, total = F.col("z"), F.col(f"a{TERMS - 1}")
+    for i in reversed(range(TERMS - 1)):
+        total = total * z + F.col(f"a{i}")
+    sums = pts.groupBy("g", "k").agg(F.sum(F.exp(-0.5 * z * z) * total).alias("s"))
+    axis = params.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(grid - 1).cast("long"))))
     return axis.join(sums, ["g", "k"], "left").select(
-        "g", "k", "x", F.when(h.isNotNull(), F.coalesce("s", F.lit(0.0)) / (n * h * SQRT_2PI)).alias("density"))
+        "g", "k", (F.col("start") + k * F.col("step")).alias("x"),
+        F.when(F.col("h").isNotNull(), F.coalesce("s", F.lit(0.0)) / (F.col("n") * F.col("h") * SQRT_2PI)).alias("density"))
 
 
-def _bandwidth(n: int, sd: float | None) -> float | None:
-    return sd * n ** -0.2 if n and sd is not None and sd > 0 else None  # Scott's rule
+def _bandwidths(d: DataFrame) -> DataFrame:
+    """(g, n, lo, hi, h) of d (g, y), h by Scott's rule."""
+    n, sd = F.count("y"), F.stddev_samp("y")
+    return d.groupBy("g").agg(n.alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"),
+                              F.when(sd > 0, sd * F.pow(n.cast("double"), F.lit(-0.2))).alias("h"))
 
 
 def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 0.0, count_bins: int = 40) -> DataFrame:
@@ -119,9 +124,9 @@ def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 0.0, count_
     ``grid``-point support [min - cut*h, max + cut*h]; ``count_curve`` is
     the density scaled to a ``count_bins``-bin histogram (n * bin width)."""
     d = df.select(F.lit("").alias("g"), _c(col).cast("double").alias("y")).filter(F.col("y").isNotNull())
-    n, lo, hi, sd = d.agg(F.count("y"), F.min("y"), F.max("y"), F.stddev_samp("y")).first()
-    params = {"": (n, lo, hi, _bandwidth(n, sd))} if n else {}
-    width = n * (hi - lo) / count_bins if n else 0.0
+    params = written(_bandwidths(d), "bandwidths")
+    one = params.first()
+    width = one["n"] * (one["hi"] - one["lo"]) / count_bins if one else 0.0
     return _densities(d, params, grid, cut).select("k", "x", "density", (F.col("density") * width).alias("count_curve"))
 
 
@@ -175,11 +180,13 @@ def _by_category(df: DataFrame, cat: str, y: str) -> DataFrame:
             .filter(F.col("category").isNotNull() & F.col("y").isNotNull()))
 
 
-def _fences(qs: dict, whis: float) -> tuple[Column, Column]:
-    """Lower and upper fence of the row's category."""
-    cat = F.col("category")
-    return (literal_map(cat, {g: q1 - whis * (q3 - q1) for g, (_, (q1, _, q3)) in qs.items()}),
-            literal_map(cat, {g: q3 + whis * (q3 - q1) for g, (_, (q1, _, q3)) in qs.items()}))
+def _boxes(d: DataFrame, whis: float) -> DataFrame:
+    """(category, n, q1, median, q3, fence_lo, fence_hi) of d (category, y)."""
+    v = F.when(~F.isnan("y"), F.col("y"))
+    q = grouped_quantiles(d.select(F.col("category").alias("g"), v.alias("v")).filter("v is not null"), [0.25, 0.5, 0.75])
+    iqr = F.col("q3") - F.col("q1")
+    q = q.select(F.col("g").alias("category"), "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    return written(q.withColumns({"fence_lo": F.col("q1") - whis * iqr, "fence_hi": F.col("q3") + whis * iqr}), "boxes")
 
 
 def box_stats(df: DataFrame, cat: str, y: str, whis: float = 1.5) -> DataFrame:
@@ -187,15 +194,12 @@ def box_stats(df: DataFrame, cat: str, y: str, whis: float = 1.5) -> DataFrame:
     furthest data point within whis * IQR of the box (at the box itself where
     that point lies inside it), and outlier count."""
     d = _by_category(df, cat, y)
-    qs = exact_quantiles_by(df, cat, y, [0.25, 0.5, 0.75])
-    lo, hi = _fences(qs, whis)
-    yv = F.col("y")
-    w = d.groupBy("category").agg(
-        F.min(F.when(yv >= lo, yv)).alias("lo"), F.max(F.when(yv <= hi, yv)).alias("hi"),
-        F.count(F.when((yv < lo) | (yv > hi), 1)).alias("n_outliers"))
-    q = df.sparkSession.createDataFrame([(g, n, *q) for g, (n, q) in qs.items()],
-                                        "category string, n bigint, q1 double, median double, q3 double")
-    return q.join(w, "category").select(  # one row per category on both sides
+    boxes = _boxes(d, whis)
+    v, lo, hi = F.col("y"), F.col("fence_lo"), F.col("fence_hi")
+    w = with_parameters(d, boxes.select("category", "fence_lo", "fence_hi"), "category").groupBy("category").agg(
+        F.min(F.when(v >= lo, v)).alias("lo"), F.max(F.when(v <= hi, v)).alias("hi"),
+        F.count(F.when((v < lo) | (v > hi), 1)).alias("n_outliers"))
+    return boxes.join(w, "category").select(  # one row per category on both sides
         "category", "n", "q1", "median", "q3", F.least("q1", "lo").alias("whisker_lo"),
         F.greatest("q3", "hi").alias("whisker_hi"), "n_outliers")
 
@@ -205,18 +209,15 @@ def box_outliers(df: DataFrame, cat: str, y: str, key: str, whis: float = 1.5) -
     d = df.select(_c(key).alias("row_id"), _c(cat).cast("string").alias("category"),
                   _c(y).cast("double").alias("y")).filter(
         F.col("category").isNotNull() & F.col("y").isNotNull())
-    lo, hi = _fences(exact_quantiles_by(df, cat, y, [0.25, 0.5, 0.75]), whis)
-    return d.filter((F.col("y") < lo) | (F.col("y") > hi)).select("row_id", "category", "y")
+    d = with_parameters(d, _boxes(d.drop("row_id"), whis).select("category", "fence_lo", "fence_hi"), "category")
+    return d.filter((F.col("y") < F.col("fence_lo")) | (F.col("y") > F.col("fence_hi"))).select("row_id", "category", "y")
 
 
 def violin_density(df: DataFrame, cat: str, y: str, grid: int = 100, cut: float = 2.0) -> DataFrame:
     """Per-category Gaussian KDE (Scott bandwidth), support extended by
     ``cut`` bandwidths on both sides, ``grid`` points."""
     d = _by_category(df, cat, y).withColumnRenamed("category", "g")
-    st = d.groupBy("g").agg(F.count("y").alias("n"), F.min("y").alias("lo"), F.max("y").alias("hi"),
-                            F.stddev_samp("y").alias("sd")).collect()  # one row per category
-    params = {r["g"]: (r["n"], r["lo"], r["hi"], _bandwidth(r["n"], r["sd"])) for r in st}
-    return _densities(d, params, grid, cut).withColumnRenamed("g", "category")
+    return _densities(d, _bandwidths(d), grid, cut).withColumnRenamed("g", "category")
 
 
 def scatter_series(df: DataFrame, features: list[str], y: str, key: str) -> DataFrame:
