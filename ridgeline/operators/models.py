@@ -46,6 +46,7 @@ GBT_GRID = {"maxIter": [200, 500], "maxDepth": [3, 5, 8], "stepSize": [0.01, 0.0
             "subsamplingRate": [0.8, 1.0], "featureSubsetStrategy": ["0.8", "all"]}
 CV_FOLDS = 5
 ROWS_PER_FIT_PARTITION = 25_000
+MAX_FIT_PARTITIONS = 20_000
 
 #: Dimensions of a grid that are scored by cutting one fitted model.
 CUTS = {"decision_tree": ("maxDepth", SPLIT), "random_forest": ("numTrees", "maxDepth", SPLIT), "xgboost": ("maxIter",)}
@@ -118,11 +119,11 @@ def labelled_rows(spec: FeatureSpec, train: DataFrame, keep: list[str] = ()) ->
 
 def fit_rows(spec: FeatureSpec, train: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Labelled training rows, dealt and ordered by a hash of their values into
-    as many partitions as their number asks for. Learners that draw rows per
+    as many partitions as their number asks for, up to a bound. Learners that draw rows per
     partition (bagging, subsampling) then give the same model whatever the
     input's partitions or the cluster's size."""
     rows = labelled_rows(spec, train, keep)
-    parts = max(1, -(-rows.count() // ROWS_PER_FIT_PARTITION))
+    parts = min(MAX_FIT_PARTITIONS, max(1, -(-rows.count() // ROWS_PER_FIT_PARTITION)))
     digest = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
     return (rows.withColumn("_digest", digest).repartition(parts, "_digest")
             .sortWithinPartitions("_digest").drop("_digest"))
