@@ -33,6 +33,21 @@ def e6_model_metrics(spark, sf_dir):
     return E.regression_metrics(prediction_table(spark, sf_dir))
 
 
+# the prediction table under keys that have a label and one that has none
+KEYS = {"const": "linear_regression", "price": "xgboost", "exact": "own_model"}
+DISPLAY = {"display_name": "Model", "rmse": "RMSE", "mae": "MAE", "r2": "R2", "explained_variance": "Explained variance", "mape": "MAPE (%)"}
+
+
+@query("p7_p8_display_metrics", sql=W(O.PT, METRICS_CTE) + """
+SELECT CASE model WHEN 'const' THEN 'Linear Regression' WHEN 'price' THEN 'XGBoost' ELSE 'own_model' END AS "Model",
+       rmse AS "RMSE", mae AS "MAE", r2 AS "R2", explained_variance AS "Explained variance", mape AS "MAPE (%)"
+FROM m""", round_cols=[f'"{label}"' for label in list(DISPLAY.values())[1:]])
+def p7_p8_display_metrics(spark, sf_dir):
+    """The metric table with labels for keys, columns renamed and in display order."""
+    renamed = prediction_table(spark, sf_dir).replace(KEYS, subset=["model"])
+    return E.display_table(E.regression_metrics(renamed), DISPLAY)
+
+
 @query("e6_metrics_by_segment", sql=W(O.PT) + _metrics_sql("model, l_returnflag"), round_cols=MCOLS)
 def e6_metrics_by_segment(spark, sf_dir):
     return E.regression_metrics(prediction_table(spark, sf_dir), by=["model", "l_returnflag"])

@@ -164,6 +164,17 @@ def f6_prepared_scaled(spark, sf_dir):
     return _vector_query(spark, sf_dir, scale=True)
 
 
+@query("f7_prepared_rows", sql=W(O.MT, STATS) + "SELECT rk, bucket >= 2000 AS is_train, " + ", ".join(
+    [f"{_scaled(x)} AS {x}" for x in NUM] + [c for x in CAT for c in _onehot_cols(x)]) + " FROM mt",
+    round_cols=NUM + ONEHOT_NAMES)
+def f7_prepared_rows(spark, sf_dir):
+    """fitted on the training rows, training and test rows transformed in one scan."""
+    mt, spec, train, test = _mt_train_test(spark, sf_dir)
+    model = TabularPrep(numericCols=list(spec.numeric), categoricalCols=list(spec.categorical), scale=True).fit(train)
+    out = model.transform(mt).select("rk", (F.col("bucket") >= 2000).alias("is_train"), vector_to_array("features").alias("_v"))
+    return out.select("rk", "is_train", *[F.col("_v")[i].alias(n) for i, n in enumerate(model.feature_names())])
+
+
 @query("f8_feature_names", sql=W(O.MT, STATS) + """
 SELECT * FROM (VALUES (0, 'l_quantity'), (1, 'l_extendedprice'), (2, 'l_discount'), (3, 'l_tax')) AS t(position, name)
 UNION ALL

@@ -167,6 +167,13 @@ def a4_duplicates(spark, sf_dir):
     return P.duplicate_count(mt.select(*DUP_COLS))
 
 
+@query("a4_duplicates_all_columns", sql=W(O.MT) + """
+SELECT (SELECT count(*) FROM mt) - (SELECT count(*) FROM (SELECT DISTINCT * FROM mt)) AS n_duplicates""")
+def a4_duplicates_all_columns(spark, sf_dir):
+    """A4 as the profile of a table asks for it: rows that repeat in every column."""
+    return P.duplicate_count(modelling_table(spark, sf_dir))
+
+
 @query("a5_target_stats", sql=W(O.MT) + """
 SELECT avg(charge) AS target_mean, median(charge) AS target_median, stddev_samp(charge) AS target_std,
        min(charge) AS target_min, max(charge) AS target_max FROM mt""", round_cols=TARGET_COLS)

@@ -68,3 +68,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``scratch_path`` named and nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
