@@ -53,6 +53,7 @@ from ridgeline.llm.components import components
 BLOCK_ROWS = 512
 FEW = 6  # groups up to this size compare pair by pair
 BLOCK_BYTES = 4 << 20
+BROADCAST_IDS = 500_000  # more ids are joined by a shuffle
 SIGNATURE = ("doc_id long, n long, hi long, lo long, keys array<bigint>, sketch binary")
 
 
@@ -340,12 +341,18 @@ def text_classes(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         sig = scratch.keep(stored(signatures(docs, k, num, den), "jaccard-signatures"))
         classes = (sig.where("n > 0").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("rep")))
         classes = scratch.keep(stored(classes, "jaccard-classes"))
-        own = classes.where("rep is not null").withColumnRenamed("rep", "doc_id")
-        lead = (sig.where(F.size("keys") > 0).select("doc_id", "n", "hi", "lo", "keys")
-                .join(own, ["n", "hi", "lo", "doc_id"], "left_semi"))
+        # rows that are not their class's own are few as a rule: a join that leaves them out
+        # need not shuffle the key arrays
+        copies = stored(sig.where("doc_id is not null").select("doc_id", "n", "hi", "lo").join(classes, ["n", "hi", "lo"])
+                        .where("doc_id <> rep").select("doc_id").distinct(), "jaccard-copies")
+        if copies.count() <= BROADCAST_IDS:
+            copies = F.broadcast(copies)
+        lead = (sig.where((F.size("keys") > 0) & F.col("doc_id").isNotNull()).select("doc_id", "n", "keys")
+                .join(copies, "doc_id", "left_anti"))
         keys = lead.select(F.col("doc_id").alias("rep"), "n", F.explode("keys").alias("key"))
-        met = (keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-               .where("low <> high").select("key"))
+        # a table of its own, so that its shuffle is gone before the keys are shuffled again
+        met = stored(keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+                     .where("low <> high").select("key"), "jaccard-met")
         shared = stored(keys.join(met, "key", "left_semi").select("key", "rep", "n"), "jaccard-shared")
         sketches = (sig.where(F.size("keys") > 0).select(F.col("doc_id").alias("rep"), "n", "sketch")
                     .join(shared.select("rep", "n").distinct(), ["rep", "n"], "left_semi"))

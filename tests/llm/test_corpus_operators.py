@@ -522,3 +522,16 @@ def test_repeated_ids_with_other_texts(spark):
     assert kept == sorted([(0, near), (5, b), (7, c), (7, d), (11, ""), (11, "")])
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df).collect())
     assert got == sorted([(0, 56, 0), (5, 56, 0), (5, 56, 5), (7, 56, 7), (7, 56, 7), (9, 56, 7), (9, 56, 7), (11, 0, 11), (11, 0, 11)])
+
+
+def test_shuffle_files_go_when_a_table_is_stored(spark):
+    from ridgeline.llm.common import stored
+
+    def shuffled():
+        held = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    table = stored(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "shuffle-test")
+    assert not shuffled() - before
+    assert table.count() == 10
