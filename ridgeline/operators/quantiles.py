@@ -14,8 +14,8 @@ come from brackets that shrink by rank, not by value:
    only the wanted element is returned.
 
 Pivots are values of the data, so every round shrinks each bracket by at least
-one distinct value and, by the sketch's accuracy, to a few thousandths of its
-rows, whatever the distribution: there is no cap on rounds, rows are never
+one distinct value and, by the sketch's accuracy, to about a hundredth of its
+rows (a few thousandths in the grouped form), whatever the distribution: there is no cap on rounds, rows are never
 multiplied, and the driver holds a few numbers per rank. NaN counts as missing.
 """
 
@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from ridgeline.functions.cache import passes_over
 
 SMALL = 4096          # values that one sort inside an aggregate may hold
-ACCURACY = 10_000     # of the sketch: rank error at most rows / ACCURACY
+ACCURACY = 10_000     # of the grouped sketch: rank error at most rows / ACCURACY
+WIDE_ACCURACY = 500   # of the sketches of many columns, which one task merges from all others
 GRID = 200            # pivots of the grouped form
 CHUNK = 64            # series per aggregate: bounds the width of a plan
 
@@ -125,8 +126,9 @@ def _exact_quantiles(df, columns, probs, stats):
                 for x, b in small]
         for x, b in large:
             at = (b.rank - b.below + 0.5) / b.inside
-            probe = [max(0.0, at - 2 / ACCURACY), min(1.0, max(0.0, at)), min(1.0, at + 2 / ACCURACY)]
-            aggs.append(F.percentile_approx(_inside(_value(x), b), probe, ACCURACY))
+            error = 2 / min(ACCURACY, WIDE_ACCURACY)
+            probe = [max(0.0, at - error), min(1.0, max(0.0, at)), min(1.0, at + error)]
+            aggs.append(F.percentile_approx(_inside(_value(x), b), probe, min(ACCURACY, WIDE_ACCURACY)))
         got = _run(df, aggs, CHUNK)
         for (x, b), v in zip(small, got):
             b.found = v

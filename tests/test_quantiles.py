@@ -56,3 +56,15 @@ def test_grouped_quantiles_hot_group(spark, monkeypatch, parts):
     for key in ("hot", "b", "c"):
         assert got[key][0] == int((g == key).sum())
         assert np.allclose(got[key][1], np.quantile(v[g == key], [0.25, 0.5, 0.75]), rtol=1e-12, atol=0)
+
+
+def test_sketches_of_wide_tables_stay_small(spark, monkeypatch):
+    """One task merges a sketch per column, rank and partition."""
+    sizes, sketch = [], Q.F.percentile_approx
+    monkeypatch.setattr(Q.F, "percentile_approx", lambda v, p, accuracy: (sizes.append(accuracy), sketch(v, p, accuracy))[1])
+    rng = np.random.default_rng(3)
+    cols = {"a": rng.normal(size=20_000), "b": np.round(rng.normal(size=20_000), 1)}
+    got = Q.exact_quantiles(frame(spark, cols, 3), list(cols), PROBS)
+    for name, arr in cols.items():
+        assert np.allclose(got[name], np.quantile(arr, PROBS), rtol=1e-12, atol=0), name
+    assert sizes and max(sizes) <= 1000
