@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ridgeline.operators import models as M
 from ridgeline.operators.split import fold_column
 from ridgeline.sources.fixtures import modelling_table, mt_spec
+from ridgeline.spec import FeatureSpec
 from tests.conftest import SF001
 
 
@@ -186,3 +187,14 @@ def test_boosting_stops_where_the_held_out_rows_say(spark):
         F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(spec.target), 2)))).first()[0]) < 1e-6 * curve[-1]
     again = M.fit_early_stopped(spec, train.repartition(7), "is_val", maxIter=40, validationTol=0.0, **params)
     assert again.stages[-1].getNumTrees == kept
+
+
+def test_a_deep_tree_keeps_the_node_of_each_row_and_is_the_same_tree(spark):
+    df = spark.createDataFrame([(float(i * 7919 % 1009), float(i * 31 % 97), float(i * i % 251)) for i in range(1500)],
+                               "a double, b double, y double")
+    spec = FeatureSpec("y", ("a", "b"), ("a", "b"), ())
+    x = M.build_pipeline(spec, "decision_tree").getStages()[0].fit(df).transform(df)
+    tree = M.regressor("decision_tree", "y", maxDepth=20)
+    assert tree.getCacheNodeIds()
+    text = [tree.copy({tree.cacheNodeIds: c}).fit(x).toDebugString.split("\n", 1)[1] for c in (True, False)]
+    assert text[0] == text[1]
