@@ -57,6 +57,7 @@ MIN_WORDS = 8                  # of a run of adjacent chunks that may be removed
 ANCHOR, WINDOW = 12, 38        # words of an anchor; anchors of which the least is taken
 REACH = (512, None)            # bytes compared on both sides of a repeat, in turn; None: whole texts
 COPY_TEST = (5, 80, 100)       # shingle words and least Jaccard (num, den) of a copy
+CUT_BYTES = 1 << 18            # of a slice of documents whose arrays are worked on at once
 _RAW = splitmix(np.arange(1, 257, dtype=np.uint64) * U64(0x8CB92BA72F3D8DD7))
 _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".!?"]] = True
@@ -126,7 +127,8 @@ def winnow(g: np.ndarray, doc: np.ndarray) -> np.ndarray:
         size *= 2
     low = least(low[:n], low[WINDOW - size:WINDOW - size + n])
     whole = doc[:n] == doc[WINDOW + ANCHOR - 2:WINDOW + ANCHOR - 2 + n]
-    pick = np.unique(low[whole])
+    pick = low[whole]  # never falls
+    pick = pick[np.diff(pick, prepend=-1) > 0]
     new = np.ones(len(pick), bool)
     new[1:] = (g[pick[1:]] != g[pick[:-1]]) | (doc[pick[1:]] != doc[pick[:-1]])
     heads = np.flatnonzero(new)
@@ -173,7 +175,7 @@ def chunk_table(docs: DataFrame) -> DataFrame:
         for batch in batches:
             data, offs = text_buffers(batch.column("text"))
             ids, rows = batch.column("id"), batch.column("row")
-            for lo, hi in doc_slices(offs):
+            for lo, hi in doc_slices(offs, CUT_BYTES):
                 piece, o = data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
                 h, s, _, doc, nw, hard, (ah, as_, ae, adoc) = cut_words(piece, o)
                 last = cut_chunks(h, doc, hard)
@@ -260,19 +262,24 @@ def picked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     lie, so that only they are shuffled; a join drops what the bitmap let through."""
     wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(rows, "row"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(bitmap_has(wanted.value, batch.column("row").to_numpy())))
+    @F.arrow_udf("boolean")
+    def may_be(row: pa.Array) -> pa.Array:  # the texts stay in the JVM
+        return pa.array(bitmap_has(wanted.value, row.to_numpy()))
 
-    return docs.mapInArrow(lean(run), "id long, row long, text string")
+    return docs.where(may_be("row"))
 
 
 def agree(a: bytes, b: bytes, a_open: bool, b_open: bool) -> tuple[int, bool]:
     """Bytes of the whole words in front that ``a`` and ``b`` share, and whether
     they are known: an open end may be inside a word that goes on."""
     n = min(len(a), len(b))
-    differ = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))
-    p = int(differ[0]) if len(differ) else n
+    if a[:n] == b[:n]:
+        p = n
+    elif n <= 512:  # quicker than an array for few bytes
+        differ = int.from_bytes(a[:n], "little") ^ int.from_bytes(b[:n], "little")
+        p = ((differ & -differ).bit_length() - 1) // 8
+    else:
+        p = int(np.argmax(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)))
     if p == n and ((p == len(a) and a_open) or (p == len(b) and b_open)):
         return 0, False
     ends = [p == len(x) or x[p] in WHITE for x in (a, b)]
@@ -294,15 +301,17 @@ def repeats(marks: list[tuple[int, int, int]], mine: bytes, lo: int, size: int,
             shift: int) -> tuple[list[tuple], list[tuple]]:
     """Marks (s, e, w) of a document against its owner, given a part of each text
     that begins at ``lo`` and ``own_lo``. Returns the repeats (s, e, w, whole): the
-    chunks whose bytes agree, and their runs, grown by whole words as far as both
-    texts agree; and the runs that agree up to the end of a part, as marks."""
+    chunks whose bytes agree, adjacent ones as one, and their runs, grown by whole words
+    as far as both texts agree; and the runs that agree up to the end of a part, as marks."""
     found, runs, open_ = [], [], []
     for s, e, w in sorted(marks):
         body = mine[s - lo:e - lo].rstrip(WHITE)
         at = s - shift - own_lo
         if not body or own[at:at + len(body)] != body:
             continue  # equal hashes of other bytes
-        if w:
+        if w and found and found[-1][1] == s:
+            found[-1] = (found[-1][0], e, found[-1][2] + w, False)
+        elif w:
             found.append((s, e, w, False))
         if runs and s <= runs[-1][1]:
             runs[-1][1:] = max(runs[-1][1], e), max(runs[-1][2], s + len(body))
@@ -360,12 +369,14 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         names = [f.split()[0] for f in PAIR.split(", ")]
         for batch in batches:
             keys, out, more = [batch.column(c).to_pylist() for c in names], [], []
-            for i in range(len(batch)):
-                marks = [(m["s"], m["e"], m["w"]) for m in batch.column("marks")[i].as_py()]
-                lo, size_, own_lo, own_size = (batch.column(c)[i].as_py() for c in ("lo", "size", "own_lo", "own_size"))
+            every, begin = batch.column("marks").flatten(), batch.column("marks").value_lengths().to_numpy().cumsum().tolist()
+            every = list(zip(*(every.field(c).to_pylist() for c in ("s", "e", "w"))))
+            parts = [batch.column(c).to_pylist() for c in ("lo", "size", "own_lo", "own_size")]
+            for i, key in enumerate(zip(*keys)):
+                marks = every[begin[i - 1] if i else 0:begin[i]]
+                lo, size_, own_lo, own_size = (c[i] for c in parts)
                 found, left = repeats(marks, batch.column("mine")[i].as_py(), lo, size_, batch.column("own")[i].as_py(),
-                                      own_lo, own_size, keys[4][i])
-                key = tuple(k[i] for k in keys)
+                                      own_lo, own_size, key[4])
                 out += [(*key, *r, None) for r in found]
                 if left:
                     more.append((*key, None, None, None, None, [{"s": s, "e": e, "w": w} for s, e, w in left]))

@@ -535,3 +535,18 @@ def test_shuffle_files_go_when_a_table_is_stored(spark):
     table = stored(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "shuffle-test")
     assert not shuffled() - before
     assert table.count() == 10
+
+
+def test_adjacent_chunks_of_a_pair_are_one_repeat():
+    from ridgeline.llm.line_dedup import agree, repeats
+
+    own = b"one two\nthree four\nfive six\nseven\nx y"
+    mine = own + b" z"
+    found, left = repeats([(19, 34, 3), (0, 19, 4), (0, 18, 0)], mine, 0, len(mine), own, 0, len(own), 0)
+    assert not left and [f for f in found if not f[3]] == [(0, 34, 7, False)]
+    assert [f for f in found if f[3]] == [(0, len(own), 9, True)]
+    for n in (200, 2000):  # few bytes and many
+        a = b"word " * n
+        b = a[:-7] + b"X" + a[-6:]
+        assert agree(a, b, False, False) == (len(a) - 11, True) == agree(b, a, False, False)
+    assert agree(a, a, False, True) == (0, False)
