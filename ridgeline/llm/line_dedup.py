@@ -213,16 +213,17 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 def removals(docs: DataFrame, copy_share: float | None, copy_test: tuple[int, int, int] = COPY_TEST) -> DataFrame:
     """(id, row, cut): sorted byte spans that go, one row per changed document."""
     table = stored(chunk_table(docs), "line-chunks")
-    again = stored(table.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-                   .where("n > 1").select("h"), "line-again")
-    chunks = repeated(table, docs.sparkSession.sparkContext.broadcast(bitmap_of(again, "h")))
+    common = stored(table.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").select("h"), "line-again")
+    chunks = repeated(table, docs.sparkSession.sparkContext.broadcast(bitmap_of(common, "h")))
     first = (chunks.groupBy("h").agg(F.min(F.struct("id", "row", "s")).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("h", "first"))
     met = (chunks.join(first, "h").where(F.struct("id", "row", "s") != F.col("first"))
            .select("id", "row", F.col("first.id").alias("owner"), F.col("first.row").alias("owner_row"),
                    (F.col("s") - F.col("first.s")).alias("shift"), F.struct("s", "e", "w").alias("mark"))
            .groupBy(*SAME).agg(F.collect_set("mark").alias("marks")))
-    later = stored(compared(docs, stored(met, "line-pairs")), "line-repeats")
+    again = not table.groupBy("id", "row").count().where("count > 1").isEmpty()
+    later = stored(compared(docs, stored(met, "line-pairs"), again), "line-repeats")
     out = cut_spans(later)
     if copy_share is None:
         return out
@@ -307,7 +308,7 @@ def repeats(marks: list[tuple[int, int, int]], mine: bytes, lo: int, size: int,
     for s, e, w in sorted(marks):
         body = mine[s - lo:e - lo].rstrip(WHITE)
         at = s - shift - own_lo
-        if not body or own[at:at + len(body)] != body:
+        if not body or not own.startswith(body, at):
             continue  # equal hashes of other bytes
         if w and found and found[-1][1] == s:
             found[-1] = (found[-1][0], e, found[-1][2] + w, False)
@@ -318,30 +319,31 @@ def repeats(marks: list[tuple[int, int, int]], mine: bytes, lo: int, size: int,
         else:
             runs.append([s, e, s + len(body)])
     for s, e, stop in runs:
+        known = sure = False
         for most in (256, len(mine) + len(own)):  # seldom more than a few words
-            i, j = s - lo, s - shift - own_lo
-            a, b = mine[max(0, i - most):i], own[max(0, j - most):j]
-            left, known = agree(a[::-1], b[::-1], len(a) < s, len(b) < s - shift)
-            i, j = stop - lo, stop - shift - own_lo
-            a, b = mine[i:i + most], own[j:j + most]
-            right, sure = agree(a, b, stop + len(a) < size, stop - shift + len(b) < own_size)
+            if not known:
+                i, j = s - lo, s - shift - own_lo
+                a, b = mine[max(0, i - most):i], own[max(0, j - most):j]
+                left, known = agree(a[::-1], b[::-1], len(a) < s, len(b) < s - shift)
+            if not sure:
+                i, j = stop - lo, stop - shift - own_lo
+                a, b = mine[i:i + most], own[j:j + most]
+                right, sure = agree(a, b, stop + len(a) < size, stop - shift + len(b) < own_size)
             if known and sure:
+                a, b = s - left, max(e, stop + right)
+                found.append((a, b, len(mine[a - lo:b - lo].split()), True))
                 break
-        if known and sure:
-            a, b = s - left, max(e, stop + right)
-            found.append((a, b, len(mine[a - lo:b - lo].split()), True))
         else:
-            open_.append((s, e, max(1, len(mine[s - lo:e - lo].split()))))
+            open_.append((s, e, 1))  # whose chunks are counted already
     return found, open_
 
 
-def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def compared(docs: DataFrame, pairs: DataFrame, again: bool) -> DataFrame:
     """REPEAT rows of (SAME, marks). A part of the document around its marks is taken
     once per pair and brought to the owner's text, where the same part is cut out, so
     that neither text is copied. Runs that agree over all of one ``REACH`` around
-    them are compared again over the next."""
+    them are compared again over the next. ``again``: whether rows repeat an (id, text)."""
     body, size = F.col("text").cast("binary"), F.octet_length(F.col("text").cast("binary"))
-    again = not docs.groupBy("id", "row").count().where("count > 1").isEmpty()
 
     def once(ids: DataFrame) -> DataFrame:
         mine = picked(docs, ids.distinct())
@@ -366,24 +368,31 @@ def compared(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                         F.substring(body, at.cast("int") + 1, F.greatest(until - at, F.lit(0)).cast("int")).alias("own")))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in PAIR.split(", ")]
+        mark = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("w", pa.int64())]))
+        kinds = dict(zip(("s", "e", "w", "whole", "marks"), [pa.int64()] * 3 + [pa.bool_(), mark]))
+
+        def told(batch: pa.RecordBatch, at: list[int], known: dict[str, list]) -> pa.RecordBatch:
+            keys = [batch.column(c).take(pa.array(at, pa.int64())) for c in SAME]
+            rest = [pa.array(known[c], k) if c in known else pa.nulls(len(at), k) for c, k in kinds.items()]
+            return pa.RecordBatch.from_arrays([*keys, *rest], names=[*SAME, *kinds])
+
         for batch in batches:
-            keys, out, more = [batch.column(c).to_pylist() for c in names], [], []
-            every, begin = batch.column("marks").flatten(), batch.column("marks").value_lengths().to_numpy().cumsum().tolist()
-            every = list(zip(*(every.field(c).to_pylist() for c in ("s", "e", "w"))))
-            parts = [batch.column(c).to_pylist() for c in ("lo", "size", "own_lo", "own_size")]
-            for i, key in enumerate(zip(*keys)):
-                marks = every[begin[i - 1] if i else 0:begin[i]]
-                lo, size_, own_lo, own_size = (c[i] for c in parts)
-                found, left = repeats(marks, batch.column("mine")[i].as_py(), lo, size_, batch.column("own")[i].as_py(),
-                                      own_lo, own_size, key[4])
-                out += [(*key, *r, None) for r in found]
+            every, begin = batch.column("marks").flatten(), [0, *batch.column("marks").value_lengths().to_numpy().cumsum().tolist()]
+            every = list(zip(*(every.field(c).to_numpy().tolist() for c in ("s", "e", "w"))))
+            parts = [batch.column(c).to_numpy().tolist() for c in ("lo", "size", "own_lo", "own_size", "shift")]
+            (mine, m), (own, o) = ((memoryview(d), x.tolist()) for d, x in (text_buffers(batch.column(c)) for c in ("mine", "own")))
+            out, at, more, more_at = [], [], [], []
+            for i, (lo, size_, own_lo, own_size, shift) in enumerate(zip(*parts)):
+                found, left = repeats(every[begin[i]:begin[i + 1]], bytes(mine[m[i]:m[i + 1]]), lo, size_,
+                                      bytes(own[o[i]:o[i + 1]]), own_lo, own_size, shift)
+                out += found
+                at += [i] * len(found)
                 if left:
-                    more.append((*key, None, None, None, None, [{"s": s, "e": e, "w": w} for s, e, w in left]))
-            cols = list(zip(*(out + more))) or [[]] * 10
-            kinds = [pa.int64()] * 8 + [pa.bool_(), pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64()), ("w", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=[*names, "s", "e", "w", "whole", "marks"])
+                    more.append([{"s": s, "e": e, "w": w} for s, e, w in left])
+                    more_at.append(i)
+            yield told(batch, at, dict(zip(("s", "e", "w", "whole"), list(zip(*out)) or [[]] * 4)))
+            if more:
+                yield told(batch, more_at, {"marks": more})
 
     done = None
     for reach in REACH:

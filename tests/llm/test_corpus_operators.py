@@ -550,3 +550,18 @@ def test_adjacent_chunks_of_a_pair_are_one_repeat():
         b = a[:-7] + b"X" + a[-6:]
         assert agree(a, b, False, False) == (len(a) - 11, True) == agree(b, a, False, False)
     assert agree(a, a, False, True) == (0, False)
+
+
+def test_only_the_open_side_of_a_run_is_compared_again(monkeypatch):
+    from ridgeline.llm import line_dedup
+
+    own = b"x head one two " + b"word " * 400
+    mine = b"y head one two " + b"word " * 400
+    asked = []
+    agree = line_dedup.agree
+    monkeypatch.setattr(line_dedup, "agree", lambda *a: asked.append(len(a[0])) or agree(*a))
+    found, left = line_dedup.repeats([(7, 10, 0)], mine, 0, len(mine), own, 0, len(own), 0)
+    assert not left and found == [(2, len(mine) - 1, 403, True)]
+    assert len(asked) == 3  # the head is known at once, the tail after the whole text
+    found, left = line_dedup.repeats([(7, 10, 0)], mine[:600], 0, len(mine), own[:600], 0, len(own), 0)
+    assert not found and left == [(7, 10, 1)]
