@@ -552,6 +552,24 @@ def test_adjacent_chunks_of_a_pair_are_one_repeat():
     assert agree(a, a, False, True) == (0, False)
 
 
+def test_stored_tables_bound_the_bytes_of_arrow_batches(spark):
+    """A batch of long texts stands in the JVM and in every Python worker at once."""
+    import pyarrow as pa
+
+    from ridgeline.llm.common import ARROW_BYTES, BATCH_BYTES, stored
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    before = spark.conf.get(ARROW_BYTES)
+    rows = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) as text")
+    got = stored(rows.mapInArrow(sizes, "n long, bytes long"), "batch-test").collect()
+    assert sum(r["n"] for r in got) == 3000
+    assert max(r["bytes"] for r in got) <= BATCH_BYTES + 20_000
+    assert spark.conf.get(ARROW_BYTES) == before
+
+
 def test_only_the_open_side_of_a_run_is_compared_again(monkeypatch):
     from ridgeline.llm import line_dedup
 
